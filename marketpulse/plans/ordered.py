@@ -1,0 +1,72 @@
+"""Previous / next row of the same key, without putting a key in one task.
+
+``Window.partitionBy(key).orderBy(seq)`` sends every row of a key to one
+task; a key holding a third of the data would stall there. Instead:
+
+1. range-partition on (key, seq): a hot key is cut into several contiguous
+   pieces, each piece a task;
+2. lag/lead inside each piece;
+3. the first row of a piece takes its predecessor from the last row of the
+   previous non-empty piece (and the last row its successor from the next
+   piece's first row) when the key is the same. The per-piece bounds table
+   has one row per partition, a proven size bound, and is broadcast.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+PIECE = "__piece"
+
+
+def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                   values: Sequence[str], *, prev: str | None = "__prev",
+                   next: str | None = "__next", partitions: int | None = None) -> DataFrame:
+    """Add struct columns ``prev`` / ``next`` holding ``values`` of the
+    neighbouring row of the same key in ``order`` (NULL at the ends).
+    (keys, order) must be unique."""
+    keys, order, values = list(keys), list(order), list(values)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort_cols = keys + order
+    ranged = df.repartitionByRange(n, *sort_cols).withColumn(PIECE, F.spark_partition_id())
+
+    row = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)],
+                   *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
+                   *[F.col(c).alias(f"v{i}") for i, c in enumerate(values)])
+    w = Window.partitionBy(PIECE).orderBy(*sort_cols)
+    cols = {}
+    if prev:
+        cols["__in_prev"] = F.lag(row).over(w)
+    if next:
+        cols["__in_next"] = F.lead(row).over(w)
+    local = ranged.withColumns(cols)
+
+    bounds = ranged.groupBy(PIECE).agg(F.min(row).alias("__first"), F.max(row).alias("__last"))
+    bw = Window.orderBy(PIECE)   # one row per partition: a single small task
+    bounds = bounds.select(PIECE, F.lag("__last").over(bw).alias("__before"),
+                           F.lead("__first").over(bw).alias("__after"))
+    j = local.join(F.broadcast(bounds), PIECE, "left")
+
+    def same_key(s):
+        cond = None
+        for i, k in enumerate(keys):
+            c = F.col(f"{s}.k{i}").eqNullSafe(F.col(k))
+            cond = c if cond is None else cond & c
+        return cond
+
+    def pick(inner, outer):
+        # inside the piece if there is a neighbour there, else across the boundary;
+        # kept only when it belongs to the same key
+        chosen = F.when(F.col(inner).isNotNull(), F.col(inner)).otherwise(F.col(outer))
+        ok = F.when(F.col(inner).isNotNull(), same_key(inner)).otherwise(same_key(outer))
+        return F.when(ok, F.struct(*[chosen.getField(f"v{i}").alias(v) for i, v in enumerate(values)]))
+
+    out = {}
+    if prev:
+        out[prev] = pick("__in_prev", "__before")
+    if next:
+        out[next] = pick("__in_next", "__after")
+    return j.withColumns(out).drop(PIECE, "__in_prev", "__in_next", "__before", "__after")
