@@ -373,8 +373,9 @@ SELECT trade_hour, CAST(SUM(trade_count) AS BIGINT) AS trade_count,
        CAST(SUM(CAST(total_notional_usd AS DECIMAL(38,2))) AS DOUBLE) AS total_notional_usd,
        CAST(SUM(total_quantity) AS BIGINT) AS total_quantity FROM hourly GROUP BY trade_hour"""),
     "dash_anomaly_counts": with_ctes(*_T, STATS, FLAGGED, select="""
-SELECT count(*) AS anomaly_count, count_if(is_qty_anomaly) AS qty_anomalies,
-       count_if(is_price_anomaly) AS price_anomalies, count_if(is_risk_breach) AS risk_breaches
+SELECT count(*) AS anomaly_count, CAST(count_if(is_qty_anomaly) AS BIGINT) AS qty_anomalies,
+       CAST(count_if(is_price_anomaly) AS BIGINT) AS price_anomalies,
+       CAST(count_if(is_risk_breach) AS BIGINT) AS risk_breaches
 FROM anomalies"""),
     "dash_exposure": with_ctes(*_T, SECTOR, select="""
 SELECT sector, CAST(l - s AS DOUBLE) AS net_exposure_usd, CAST(l AS DOUBLE) AS long_notional_usd,

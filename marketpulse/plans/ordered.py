@@ -10,6 +10,10 @@ task; a key holding a third of the data would stall there. Instead:
    previous non-empty piece (and the last row its successor from the next
    piece's first row) when the key is the same. The per-piece bounds table
    has one row per partition, a proven size bound, and is broadcast.
+
+The piece id comes from a sampled range partitioner, so it is fixed once by
+a reliable ``checkpoint()`` (in the cluster's ``spark.checkpoint.dir``): both
+uses of the pieces then read the same rows, also after an executor is lost.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 PIECE = "__piece"
 
 
@@ -31,7 +37,9 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keys, order, values = list(keys), list(order), list(values)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = keys + order
-    ranged = df.repartitionByRange(n, *sort_cols).withColumn(PIECE, F.spark_partition_id())
+    checkpoint_dir(df.sparkSession)
+    ranged = (df.repartitionByRange(n, *sort_cols).withColumn(PIECE, F.spark_partition_id())
+              .checkpoint(eager=True))
 
     row = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)],
                    *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
