@@ -357,6 +357,13 @@ SELECT customer_id, priority, updated_at AS __START_AT,
 FROM ch"""),
     "scd2_history_tracked": with_ctes(SCD2_TRACKED, select="SELECT * FROM hist"),
     "scd2_current": with_ctes(SCD2_TRACKED, select="SELECT * FROM hist WHERE __END_AT IS NULL"),
+    "stream_enriched_trades": with_ctes(*_T, select="SELECT * FROM enriched"),
+    "stream_market_data": with_ctes(TICKS.replace("ts AS event_time",
+                                                  "CAST(strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS TIMESTAMP) AS event_time"),
+                                    select="""
+SELECT tick_id, ticker, bid, ask, last_price, spread, tick_volume, cumulative_volume, exchange, asset_class,
+       event_time, mid_price, spread_bps FROM ticks"""),
+    "stream_scd2_history": with_ctes(SCD2_TRACKED, select="SELECT * FROM hist"),
     "dash_cards": with_ctes(*_T, DESK_PNL, POSITIONS, *_TICK, LATEST, MTM, select="""
 SELECT (SELECT CAST(SUM(trade_count) AS BIGINT) FROM desk_pnl) AS total_trades,
        (SELECT CAST(SUM(CAST(gross_volume_usd AS DECIMAL(38,2))) AS DOUBLE) FROM desk_pnl) AS total_volume_usd,

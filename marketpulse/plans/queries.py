@@ -13,6 +13,7 @@ from ..operators import dashboard, gold, scd2, silver
 from ..operators.quality import TICK_RULES, TRADE_RULES, rule_report, warn_rules
 from ..sources import driver_tables as dt
 from ..sources.counts import table_counts
+from . import stream_checks
 
 TRADE_OUT = [
     "trade_id", "ticker", "side", "quantity", "price", "order_type", "trader_id", "desk",
@@ -155,6 +156,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_history": _q(lambda t: t.priority_history),
     "scd2_history_tracked": _q(lambda t: t.priority_history_tracked),
     "scd2_current": _q(lambda t: silver.current_rows(t.priority_history_tracked)),
+    "stream_enriched_trades": _q(lambda t: stream_checks.stream_enriched_trades(
+        t.spark, t.sf_dir, TRADE_OUT, t.deduped, t.raw_trades)),
+    "stream_market_data": _q(lambda t: stream_checks.stream_market_data(t.spark, t.sf_dir, TICK_OUT)),
+    "stream_scd2_history": _q(lambda t: stream_checks.stream_scd2_history(t.spark, t.sf_dir)),
     "dash_cards": _q(lambda t: dashboard.cards(t.desk_pnl, t.mtm)),
     "dash_pnl_by_desk": _q(lambda t: dashboard.pnl_by_desk(t.desk_pnl)),
     "dash_volume_by_sector": _q(lambda t: dashboard.volume_by_sector(t.sector_exposure)),
