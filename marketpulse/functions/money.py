@@ -45,5 +45,6 @@ def exact_avg(c, as_type: str = CENTS) -> Column:
 
 
 def notional(price, quantity) -> Column:
-    """``round(price * quantity, 2)`` with the product formed in decimals."""
-    return F.round(_col(price).cast(CENTS) * _col(quantity).cast("decimal(18,0)"), 2).cast("double")
+    """``round(price * quantity, 2)`` with the product formed in decimals
+    (prices keep sub-cent digits until the product is rounded)."""
+    return F.round(_col(price).cast(FINE) * _col(quantity).cast("decimal(18,0)"), 2).cast("double")

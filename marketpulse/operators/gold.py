@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import CENTS, exact_avg, money_sum, money_sum_dec, round_half_up
+from ..functions.money import CENTS, FINE, exact_avg, money_sum, money_sum_dec, round_half_up
 from ..functions.signs import cashflow_signed, long_part, short_part
 from ..functions.timefmt import hour_bucket
 from ..plans.joins import lookup_join
@@ -88,7 +88,7 @@ def ticker_stats(trades: DataFrame) -> DataFrame:
         F.count("quantity").alias("__n"),
         F.sum("quantity").cast("decimal(38,0)").alias("__s"),
         F.sum(q * q).alias("__ss"),
-        exact_avg("price").alias("avg_price"))
+        exact_avg("price", FINE).alias("avg_price"))
     n = F.col("__n")
     num = (n.cast("decimal(38,0)") * F.col("__ss") - F.col("__s") * F.col("__s")).cast("double")
     den = (n * (n - 1)).cast("double")
@@ -128,7 +128,7 @@ def hourly_trade_volume(trades: DataFrame, *, calculated_at: bool = False) -> Da
            .groupBy("trade_hour", "desk", "sector")
            .agg(F.count("trade_id").alias("trade_count"),
                 money_sum("notional_usd").alias("total_notional_usd"),
-                exact_avg("price").alias("avg_price"),
+                exact_avg("price", FINE).alias("avg_price"),
                 F.sum("quantity").alias("total_quantity")))
     return _stamp(out, "calculated_at", calculated_at)
 

@@ -108,7 +108,7 @@ def positions(trades: DataFrame, *, calculated_at: bool = False) -> DataFrame:
                 money_sum(position_signed("notional_usd")).alias("net_notional_usd"),
                 money_sum(F.abs("notional_usd")).alias("gross_notional_usd"),
                 F.count("trade_id").alias("trade_count"),
-                exact_avg("price").alias("avg_price"),
+                exact_avg("price", FINE).alias("avg_price"),
                 F.max("event_time").alias("last_trade_time"))
            .withColumn("position_side", position_side()))
     if calculated_at:

@@ -81,7 +81,7 @@ enriched AS (
          t._dq_flag,
          t.event_time, i.company_name, i.sector, tr.trader_name, tr.desk_full_name, tr.risk_limit_usd,
          tr.location, cp.counterparty_name, cp.risk_rating, cp.counterparty_type, cp.cp_country,
-         CAST(ROUND(CAST(t.price AS DECIMAL(18,2)) * CAST(t.quantity AS DECIMAL(18,0)), 2) AS DOUBLE) AS notional_usd,
+         CAST(ROUND(CAST(t.price AS DECIMAL(20,6)) * CAST(t.quantity AS DECIMAL(18,0)), 2) AS DOUBLE) AS notional_usd,
          CAST(t.event_time AS DATE) AS trade_date,
          CAST(hour(t.event_time) AS INTEGER) AS trade_hour
   FROM clean t
@@ -129,7 +129,7 @@ positions AS (
     CAST(SUM(CAST(CASE WHEN side = 'BUY' THEN notional_usd ELSE -notional_usd END AS DECIMAL(18,2))) AS DOUBLE) AS net_notional_usd,
     CAST(SUM(CAST(abs(notional_usd) AS DECIMAL(18,2))) AS DOUBLE) AS gross_notional_usd,
     COUNT(trade_id) AS trade_count,
-    CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / COUNT(price) AS avg_price,
+    CAST(SUM(CAST(price AS DECIMAL(20,6))) AS DOUBLE) / COUNT(price) AS avg_price,
     MAX(event_time) AS last_trade_time,
     CASE WHEN SUM(CASE WHEN side = 'BUY' THEN quantity ELSE -quantity END) > 0 THEN 'LONG'
          WHEN SUM(CASE WHEN side = 'BUY' THEN quantity ELSE -quantity END) < 0 THEN 'SHORT'
@@ -145,7 +145,7 @@ stats AS (
       CAST(CAST(COUNT(quantity) AS DECIMAL(38,0)) * SUM(CAST(quantity AS DECIMAL(38,0)) * CAST(quantity AS DECIMAL(38,0)))
            - CAST(SUM(quantity) AS DECIMAL(38,0)) * CAST(SUM(quantity) AS DECIMAL(38,0)) AS DOUBLE)
       / CAST(COUNT(quantity) * (COUNT(quantity) - 1) AS DOUBLE)) END AS stddev_qty,
-    CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / COUNT(price) AS avg_price
+    CAST(SUM(CAST(price AS DECIMAL(20,6))) AS DOUBLE) / COUNT(price) AS avg_price
   FROM enriched GROUP BY ticker
 )"""
 
@@ -224,7 +224,7 @@ hourly AS (
   SELECT date_trunc('hour', event_time) AS trade_hour, desk, sector,
     COUNT(trade_id) AS trade_count,
     CAST(SUM(CAST(notional_usd AS DECIMAL(18,2))) AS DOUBLE) AS total_notional_usd,
-    CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / COUNT(price) AS avg_price,
+    CAST(SUM(CAST(price AS DECIMAL(20,6))) AS DOUBLE) / COUNT(price) AS avg_price,
     CAST(SUM(quantity) AS BIGINT) AS total_quantity
   FROM enriched GROUP BY 1, 2, 3
 )"""

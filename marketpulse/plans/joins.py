@@ -22,7 +22,8 @@ _NULL_KEY_PREFIX = "\u0000null:"
 def planned_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (an upper bound without CBO)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(v) if isinstance(v, int) else int(v.toString())
     except Exception:  # pragma: no cover - non-classic sessions
         return None
 
