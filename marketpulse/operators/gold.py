@@ -104,7 +104,7 @@ def flag_anomalies(trades: DataFrame, stats: DataFrame,
     """AN-1..AN-3 on every trade. Stats (one row per ticker) are looked up
     by a size-checked join instead of a whole-ticker window."""
     t = lookup_join(trades, stats.withColumnRenamed("ticker", "__st_ticker"),
-                    "ticker", "__st_ticker", max_broadcast_bytes=max_broadcast_bytes)
+                    "ticker", "__st_ticker", max_broadcast_bytes=max_broadcast_bytes, measure=False)
     dev = F.abs(F.col("price") - F.col("avg_price")) / F.col("avg_price") * 100
     return (t.withColumn("is_qty_anomaly",
                          F.col("quantity") > F.col("avg_qty") + 3 * F.coalesce(F.col("stddev_qty"), F.lit(0.0)))
@@ -138,7 +138,8 @@ def mark_to_market_pnl(positions: DataFrame, prices: DataFrame, *, calculated_at
     """JN-4 + PRJ-13..PRJ-15: positions ⟕ latest prices."""
     slim = prices.select(F.col("ticker").alias("mkt_ticker"), "last_price", "bid", "ask",
                          "mid_price", "spread_bps", F.col("event_time").alias("price_as_of"))
-    j = lookup_join(positions, slim, "ticker", "mkt_ticker", max_broadcast_bytes=max_broadcast_bytes)
+    j = lookup_join(positions, slim, "ticker", "mkt_ticker", max_broadcast_bytes=max_broadcast_bytes,
+                    measure=False)
     mv = F.round(F.col("net_quantity").cast("decimal(18,0)") * F.col("last_price").cast("decimal(18,6)"), 2)
     pnl = F.round(mv - F.col("net_notional_usd").cast(CENTS), 2)
     absn = F.abs(F.col("net_notional_usd"))

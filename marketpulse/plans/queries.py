@@ -105,8 +105,24 @@ class Tables:
                                  tie_break=["priority"], track=["priority"])
 
 
+_TABLES: dict[tuple[int, str], Tables] = {}
+
+
+def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """One set of plans per (session, folder): a plan is built once and
+    re-executed by every action, as a scheduled refresh would do."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = Tables(spark, sf_dir)
+    return _TABLES[key]
+
+
+def reset_plans() -> None:
+    _TABLES.clear()
+
+
 def _q(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fn(Tables(spark, sf_dir))
+    return lambda spark, sf_dir: fn(tables(spark, sf_dir))
 
 
 def _source_counts(t: Tables) -> DataFrame:

@@ -24,8 +24,30 @@ FUTURE_TIME_MOD = 73
 FUTURE_TIME = "2030-12-31 23:59:59"
 
 
+_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+# Fact tables: their rows carry the per-row work of the trade and tick views.
+FACT_TABLES = ("lineitem", "events", "orders")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. The DataFrame (a plan over the listed files, not data)
+    is reused per session: listing and footer reads are paid once. A fact
+    table is spread over the cluster's cores when its files split into fewer
+    tasks than that (only small inputs; large scans already have more)."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _READ_CACHE.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        if name in FACT_TABLES:
+            df = spread(df)
+        _READ_CACHE[key] = df
+    return df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _region_of_nation(spark, sf_dir) -> DataFrame:
