@@ -110,3 +110,23 @@ class TableStore:
         for v in vs[:-keep] if keep else vs:
             p = self._Path(f"{self.table_dir(name)}/v={v}")
             self._fs(str(p)).delete(p, True)
+
+
+def publish(spark: SparkSession, store: TableStore, names: list[str] | None = None) -> list[str]:
+    """SNK-3: expose the live version of each table in the session catalog as
+    ``<layer>.<name>`` (schemas bronze / silver / gold), with its comment and
+    a ``quality`` table property. Re-publishing points the table at the
+    newest committed version."""
+    done = []
+    for name in names or list(REGISTRY):
+        info = REGISTRY[name]
+        path = store.current_path(name)
+        if path is None:
+            continue
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {info.layer}")
+        spark.sql(f"DROP TABLE IF EXISTS {info.layer}.{name}")
+        comment = info.comment.replace("'", "''")
+        spark.sql(f"CREATE TABLE {info.layer}.{name} USING parquet LOCATION '{path}' "
+                  f"COMMENT '{comment}' TBLPROPERTIES ('quality' = '{info.layer}')")
+        done.append(f"{info.layer}.{name}")
+    return done

@@ -15,6 +15,7 @@ def spark():
     ck = tempfile.mkdtemp(prefix="mp-test-ckpt-")
     s = get_session("local[4]", app_name="marketpulse-tests", shuffle_partitions=4,
                     extra={"spark.checkpoint.dir": ck,
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="mp-test-wh-"),
                            "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
