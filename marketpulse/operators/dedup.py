@@ -1,17 +1,16 @@
 """DEDUP-1: keep one row per key.
 
-Batch form: a grouped ``min`` of a struct whose leading fields are the
-ordering columns. It is an aggregate, so each map task first folds its own
-copies of a key (partial aggregation); a key holding a third of all rows is
-reduced to one row per task before the shuffle. Stream form: Spark's stateful
-``dropDuplicates``.
+Batch form: ``row_number() = 1`` over (key, order). Catalyst plans it with a
+``WindowGroupLimit`` in two steps, the first inside each map task before the
+shuffle: a key holding a third of all rows is cut to one row per task before
+any data moves. Stream form: Spark's stateful ``dropDuplicates``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,12 +19,10 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | No
     the survivor is deterministic). All NULL keys fold into one row, like
     ``dropDuplicates``."""
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
     order = list(order_by or [])
-    fields = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order)]
-    fields += [F.col(c) for c in rest]
-    first = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("__first"))
-    return first.select(*[F.col(k) for k in keys], *[F.col(f"__first.{c}").alias(c) for c in rest]).select(*df.columns)
+    rest = [c for c, t in df.dtypes if c not in keys and c not in order and not t.startswith("map")]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order + rest])
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
 def dedup_stream(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import FINE, exact_avg, money_sum, notional, round_half_up
@@ -90,15 +90,12 @@ def enrich_ticks(raw: DataFrame, rules: Sequence[Rule] = TICK_RULES, *,
 def latest_prices(ticks: DataFrame) -> DataFrame:
     """WN-1: newest tick per ticker (ties: greater tick_id; NULL times last).
 
-    A grouped ``max`` of (event_time, tick_id, payload): partial aggregation
-    folds a hot ticker to one row per task before the shuffle, where a
-    window would sort all its rows in one task."""
-    payload = [c for c in LATEST_PRICE_COLUMNS if c not in ("ticker", "event_time")]
-    best = ticks.groupBy("ticker").agg(F.max(F.struct(
-        F.col("event_time").alias("__t"), F.col("tick_id").alias("__id"),
-        *[F.col(c) for c in payload])).alias("__b"))
-    return best.select("ticker", *[F.col(f"__b.{c}").alias(c) for c in payload],
-                       F.col("__b.__t").alias("event_time")).select(*LATEST_PRICE_COLUMNS)
+    ``row_number() = 1`` is planned with a map-side ``WindowGroupLimit``: a
+    hot ticker is cut to one row per task before the shuffle."""
+    w = Window.partitionBy("ticker").orderBy(F.col("event_time").desc_nulls_last(),
+                                             F.col("tick_id").desc_nulls_last())
+    return (ticks.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1)
+            .select(*LATEST_PRICE_COLUMNS))
 
 
 def positions(trades: DataFrame, *, calculated_at: bool = False) -> DataFrame:
