@@ -1,9 +1,10 @@
 """Side conventions. They differ per table on purpose (missing side rows
 arrive, since side is only a warning rule):
 
-* positions: BUY is +, anything else −
-* cash flow: SELL is +, anything else −
+* positions (PRJ-7): BUY is +, anything else −
+* cash flow (PRJ-8): SELL is +, anything else −
 * exposure:  BUY is long, SELL is short, anything else neither
+* position side (PRJ-9): LONG / SHORT / FLAT by the sign of the net quantity
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ def _stamp(df: DataFrame, name: str, on: bool) -> DataFrame:
 
 
 def desk_pnl(trades: DataFrame, *, calculated_at: bool = False) -> DataFrame:
-    """AG-2. ``net_pnl_usd`` is cash flow: sells − buys (non-SELL counts as buy).
+    """AG-2 + PRJ-8, PRJ-10. ``net_pnl_usd`` is cash flow: sells − buys
+    (non-SELL counts as buy); ``buy_sell_ratio = round(buy / greatest(sell, 1), 2)``.
 
     The two distinct counts are planned by Catalyst as one Expand + two-level
     aggregate: the first shuffle is keyed by (desk, value), so a desk with a
@@ -101,8 +102,10 @@ def ticker_stats(trades: DataFrame) -> DataFrame:
 
 def flag_anomalies(trades: DataFrame, stats: DataFrame,
                    max_broadcast_bytes: int | None = None) -> DataFrame:
-    """AN-1..AN-3 on every trade. Stats (one row per ticker) are looked up
-    by a size-checked join instead of a whole-ticker window."""
+    """AN-1 quantity spike (PRJ-18 ``coalesce(stddev, 0)``), AN-2 price
+    deviation (compared after rounding), AN-3 risk breach, on every trade.
+    Stats (one row per ticker) are looked up by a size-checked join instead
+    of a whole-ticker window."""
     t = lookup_join(trades, stats.withColumnRenamed("ticker", "__st_ticker"),
                     "ticker", "__st_ticker", max_broadcast_bytes=max_broadcast_bytes, measure=False)
     dev = F.abs(F.col("price") - F.col("avg_price")) / F.col("avg_price") * 100
@@ -116,7 +119,8 @@ def flag_anomalies(trades: DataFrame, stats: DataFrame,
 
 def trade_anomalies(trades: DataFrame, *, detected_at: bool = False,
                     max_broadcast_bytes: int | None = None) -> DataFrame:
-    """AN-4: keep rows whose OR of flags is TRUE (NULL OR FALSE drops)."""
+    """AN-4 + FLT-2: keep rows whose OR of flags is TRUE (NULL OR FALSE drops).
+    ``detected_at`` is the processing-time stamp (PRJ-17)."""
     flagged = flag_anomalies(trades, ticker_stats(trades), max_broadcast_bytes)
     out = flagged.filter(F.col("is_anomaly") == True).select(*ANOMALY_COLUMNS)  # noqa: E712
     return _stamp(out, "detected_at", detected_at)
@@ -135,7 +139,8 @@ def hourly_trade_volume(trades: DataFrame, *, calculated_at: bool = False) -> Da
 
 def mark_to_market_pnl(positions: DataFrame, prices: DataFrame, *, calculated_at: bool = False,
                        max_broadcast_bytes: int | None = None) -> DataFrame:
-    """JN-4 + PRJ-13..PRJ-15: positions ⟕ latest prices."""
+    """JN-4 + PRJ-13 market value, PRJ-14 unrealized P&L, PRJ-15 P&L %:
+    positions ⟕ latest prices (PRJ-16: the price side is renamed and pruned)."""
     slim = prices.select(F.col("ticker").alias("mkt_ticker"), "last_price", "bid", "ask",
                          "mid_price", "spread_bps", F.col("event_time").alias("price_as_of"))
     j = lookup_join(positions, slim, "ticker", "mkt_ticker", max_broadcast_bytes=max_broadcast_bytes,

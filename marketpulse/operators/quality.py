@@ -1,4 +1,6 @@
-"""DQ-1..DQ-3: named expectations that drop or count failing rows.
+"""DQ-1 (drop), DQ-2 (warn), DQ-3 (report): named expectations that drop or
+count failing rows. Predicates are SQL text (FLT-3: IN lists, comparisons,
+IS NOT NULL, a timestamp bound).
 
 A rule passes only when its predicate is TRUE; NULL counts as a failure.
 Counts are taken over all rows reaching the rules, each rule on its own (a
@@ -91,3 +93,16 @@ def rule_report(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame
 def observe_rules(df: DataFrame, rules: Sequence[Rule], name: str) -> DataFrame:
     """Streaming form: metrics per micro-batch land in ``lastProgress``."""
     return df.observe(name, F.count(F.lit(1)).alias("rows"), *_fail_counts(rules))
+
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once (S24: a lookup dimension must have one
+    row per key, or a left join would multiply fact rows). A grouped count
+    with partial aggregation; only offending keys come back."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
+
+
+def assert_unique(df: DataFrame, keys: Sequence[str], name: str = "table") -> None:
+    bad = duplicate_keys(df, keys).take(5)
+    if bad:
+        raise ValueError(f"{name}: keys {list(keys)} are not unique, e.g. {[tuple(r) for r in bad]}")

@@ -42,7 +42,9 @@ def clean_trades(raw: DataFrame, rules: Sequence[Rule] = TRADE_RULES) -> DataFra
 def enrich_trades(trades: DataFrame, instruments: DataFrame, traders: DataFrame,
                   counterparties: DataFrame, *, processed_at: bool = False,
                   max_broadcast_bytes: int | None = None) -> DataFrame:
-    """JN-1..JN-3 + PRJ-2..PRJ-4 over cleaned trades (see ``clean_trades``).
+    """JN-1 instruments, JN-2 current traders, JN-3 current counterparties
+    (each dimension renamed and pruned first, PRJ-16), then PRJ-2 notional,
+    PRJ-3 trade date, PRJ-4 trade hour, PRJ-17 ``processed_at``.
 
     ``traders`` and ``counterparties`` are current rows (``current_rows``)."""
     inst = instruments.select(F.col("ticker").alias("inst_ticker"), "company_name", "sector")

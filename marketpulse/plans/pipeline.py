@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, scd2, silver
+from ..operators.quality import assert_unique
 from ..sources import driver_tables as dt
 from .tables import TableStore
 
@@ -40,8 +41,11 @@ def driver_inputs(spark: SparkSession, sf_dir: str, loaded_at: str = "2024-01-01
 
 
 def refresh_all(store: TableStore, inputs: Inputs, *, stamps: bool = True,
-                trades_partition_by: list[str] | None = None) -> dict[str, str]:
-    """Run the whole pipeline once; returns table → written version path."""
+                trades_partition_by: list[str] | None = None, validate: bool = True) -> dict[str, str]:
+    """Run the whole pipeline once; returns table → written version path.
+
+    ``validate`` checks that every lookup dimension has one row per key
+    before trades are enriched (one grouped count per dimension)."""
     out: dict[str, str] = {}
 
     def put(name: str, df: DataFrame, partition_by=None) -> DataFrame:
@@ -55,6 +59,10 @@ def refresh_all(store: TableStore, inputs: Inputs, *, stamps: bool = True,
     cps = put("scd2_counterparties",
               scd2.scd2_history(inputs.counterparty_changes, ["counterparty_id"], "updated_at"))
 
+    if validate:
+        assert_unique(instruments, ["ticker"], "raw_instruments")
+        assert_unique(silver.current_rows(traders), ["trader_id"], "scd2_traders")
+        assert_unique(silver.current_rows(cps), ["counterparty_id"], "scd2_counterparties")
     ticks = put("enriched_market_data", silver.enrich_ticks(raw_ticks, processed_at=stamps))
     trades = put("enriched_trades",
                  silver.enriched_trades(raw_trades, instruments, silver.current_rows(traders),

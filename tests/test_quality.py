@@ -62,3 +62,13 @@ def test_tick_rules_and_bid_equal_minus_ask(spark):
     rep = _report(silver.derive_ticks(df), TICK_RULES, "t")
     assert rep["bid_less_than_ask"] == ("warn", 3, 2)   # M3 and the NULL bid fail
     assert rep["valid_bid"][2] == 2
+
+
+def test_duplicate_dimension_keys_are_reported(spark):
+    import pytest
+    from marketpulse.operators.quality import assert_unique, duplicate_keys
+    df = spark.createDataFrame([("A", 1), ("A", 2), ("B", 3)], "k string, v int")
+    assert [tuple(r) for r in duplicate_keys(df, ["k"]).collect()] == [("A", 2)]
+    with pytest.raises(ValueError):
+        assert_unique(df, ["k"], "dim")
+    assert_unique(df, ["k", "v"], "dim")
