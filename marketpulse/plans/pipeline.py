@@ -40,37 +40,48 @@ def driver_inputs(spark: SparkSession, sf_dir: str, loaded_at: str = "2024-01-01
         counterparty_changes=dt.counterparties(spark, sf_dir).withColumn("updated_at", ts))
 
 
-def refresh_all(store: TableStore, inputs: Inputs, *, stamps: bool = True,
-                trades_partition_by: list[str] | None = None, validate: bool = True) -> dict[str, str]:
-    """Run the whole pipeline once; returns table → written version path.
-
-    ``validate`` checks that every lookup dimension has one row per key
-    before trades are enriched (one grouped count per dimension)."""
-    out: dict[str, str] = {}
-
+def _putter(store: TableStore, out: dict[str, str]):
     def put(name: str, df: DataFrame, partition_by=None) -> DataFrame:
         out[name] = store.write(name, df, partition_by)
         return store.read(name)
+    return put
 
-    raw_trades = put("raw_trades", inputs.raw_trades)
-    raw_ticks = put("raw_market_data", inputs.raw_ticks)
-    instruments = put("raw_instruments", inputs.instruments)
-    traders = put("scd2_traders", scd2.scd2_history(inputs.trader_changes, ["trader_id"], "updated_at"))
-    cps = put("scd2_counterparties",
-              scd2.scd2_history(inputs.counterparty_changes, ["counterparty_id"], "updated_at"))
 
+def refresh_reference(store: TableStore, instruments: DataFrame, trader_changes: DataFrame,
+                      counterparty_changes: DataFrame, *, validate: bool = True,
+                      tie_break: list[str] | None = None, track: dict[str, list[str]] | None = None
+                      ) -> dict[str, str]:
+    """Reference tables and their type-2 histories. ``validate`` checks that
+    every lookup dimension has one row per key (one grouped count each)."""
+    out: dict[str, str] = {}
+    put = _putter(store, out)
+    track = track or {}
+    instruments = put("raw_instruments", instruments)
+    traders = put("scd2_traders", scd2.scd2_history(
+        trader_changes, ["trader_id"], "updated_at", tie_break=tie_break, track=track.get("traders")))
+    cps = put("scd2_counterparties", scd2.scd2_history(
+        counterparty_changes, ["counterparty_id"], "updated_at", tie_break=tie_break,
+        track=track.get("counterparties")))
     if validate:
         assert_unique(instruments, ["ticker"], "raw_instruments")
         assert_unique(silver.current_rows(traders), ["trader_id"], "scd2_traders")
         assert_unique(silver.current_rows(cps), ["counterparty_id"], "scd2_counterparties")
-    ticks = put("enriched_market_data", silver.enrich_ticks(raw_ticks, processed_at=stamps))
-    trades = put("enriched_trades",
-                 silver.enriched_trades(raw_trades, instruments, silver.current_rows(traders),
-                                        silver.current_rows(cps), processed_at=stamps),
-                 trades_partition_by)
+    return out
+
+
+def load_dims(store: TableStore) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(instruments, current traders, current counterparties) from the store."""
+    return (store.read("raw_instruments"), silver.current_rows(store.read("scd2_traders")),
+            silver.current_rows(store.read("scd2_counterparties")))
+
+
+def refresh_aggregates(store: TableStore, trades: DataFrame, ticks: DataFrame, *,
+                       stamps: bool = True) -> dict[str, str]:
+    """Latest prices, positions and the six gold tables from silver trades and ticks."""
+    out: dict[str, str] = {}
+    put = _putter(store, out)
     latest = put("latest_market_prices", silver.latest_prices(ticks))
     positions = put("positions", silver.positions(trades, calculated_at=stamps))
-
     put("desk_pnl", gold.desk_pnl(trades, calculated_at=stamps))
     put("risk_exposure_by_sector", gold.risk_exposure_by_sector(trades, calculated_at=stamps))
     put("counterparty_exposure", gold.counterparty_exposure(trades, calculated_at=stamps))
@@ -78,3 +89,21 @@ def refresh_all(store: TableStore, inputs: Inputs, *, stamps: bool = True,
     put("hourly_trade_volume", gold.hourly_trade_volume(trades, calculated_at=stamps))
     put("mark_to_market_pnl", gold.mark_to_market_pnl(positions, latest, calculated_at=stamps))
     return out
+
+
+def refresh_all(store: TableStore, inputs: Inputs, *, stamps: bool = True,
+                trades_partition_by: list[str] | None = None, validate: bool = True) -> dict[str, str]:
+    """Run the whole pipeline once as a batch; returns table → written version path."""
+    out: dict[str, str] = {}
+    put = _putter(store, out)
+    raw_trades = put("raw_trades", inputs.raw_trades)
+    raw_ticks = put("raw_market_data", inputs.raw_ticks)
+    out.update(refresh_reference(store, inputs.instruments, inputs.trader_changes,
+                                 inputs.counterparty_changes, validate=validate))
+    instruments, traders, cps = load_dims(store)
+    ticks = put("enriched_market_data", silver.enrich_ticks(raw_ticks, processed_at=stamps))
+    trades = put("enriched_trades",
+                 silver.enriched_trades(raw_trades, instruments, traders, cps, processed_at=stamps),
+                 trades_partition_by)
+    out.update(refresh_aggregates(store, trades, ticks, stamps=stamps))
+    return out
