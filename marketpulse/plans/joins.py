@@ -19,8 +19,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
-# A stand-in prefix no real key starts with.
-_NULL_KEY_PREFIX = "\u0000null:"
+_SALT = "__lookup_salt"
+
+
+def _placeholder(type_name: str):
+    """Any value of the key's type (the salt alone keeps NULL-key rows from matching)."""
+    if type_name == "string":
+        return ""
+    if type_name in ("date", "timestamp", "timestamp_ntz"):
+        return "1970-01-01"
+    if type_name == "boolean":
+        return False
+    return 0
 
 
 def planned_bytes(df: DataFrame) -> int | None:
@@ -123,17 +133,24 @@ def lookup_join(fact: DataFrame, dim: DataFrame, fact_keys: Sequence[str] | str,
     if fits_broadcast(dim, max_broadcast_bytes, measure):
         cond = [fact[f] == dim[d] for f, d in zip(fact_keys, dim_keys)]
         out = fact.join(F.broadcast(dim), cond, how)
-    elif how == "left" and len(fact_keys) == 1:
-        k = fact_keys[0]
-        key_type = dict(fact.dtypes)[k]
-        salted = "__lookup_key"
-        # NULL keys never match: give each such row its own stand-in value.
-        stand_in = F.concat(F.lit(_NULL_KEY_PREFIX),
-                            F.xxhash64(*[F.col(c) for c in fact.columns]).cast("string"))
-        key = F.col(k) if key_type == "string" else F.col(k).cast("string")
-        f2 = fact.withColumn(salted, F.coalesce(key, stand_in))
-        d2 = dim if key_type == "string" else dim.withColumn(dim_keys[0], F.col(dim_keys[0]).cast("string"))
-        out = f2.join(d2, f2[salted] == d2[dim_keys[0]], "left").drop(salted)
+    elif how == "left":
+        # NULL keys never match. A second join key spreads them: 0 for every
+        # dimension row and every fact row with a full key, a row hash (never
+        # 0) for a fact row with a NULL key part, whose key parts are set to a
+        # placeholder of their own type. Keys keep their types.
+        any_null = None
+        for k in fact_keys:
+            c = F.col(k).isNull()
+            any_null = c if any_null is None else any_null | c
+        h = F.xxhash64(*[F.col(c) for c in fact.columns])
+        salt = F.when(any_null, F.when(h == 0, F.lit(1)).otherwise(h)).otherwise(F.lit(0)).cast("bigint")
+        placeholders = {k: F.coalesce(F.col(k), F.lit(_placeholder(t)).cast(t))
+                        for k, t in fact.dtypes if k in fact_keys}
+        f2 = fact.withColumns({_SALT: salt, **{f"__lk{i}": placeholders[k] for i, k in enumerate(fact_keys)}})
+        d2 = dim.withColumn(_SALT, F.lit(0).cast("bigint"))
+        cond = [f2[f"__lk{i}"] == d2[d] for i, d in enumerate(dim_keys)] + [f2[_SALT] == d2[_SALT]]
+        out = (f2.join(d2, cond, "left")
+               .drop(f2[_SALT]).drop(d2[_SALT]).drop(*[f"__lk{i}" for i in range(len(fact_keys))]))
     else:
         cond = [fact[f] == dim[d] for f, d in zip(fact_keys, dim_keys)]
         out = fact.join(dim, cond, how)

@@ -1,4 +1,8 @@
-"""Fixed schemas of the raw inputs and the column lists of the outputs."""
+"""Fixed schemas of the raw inputs and the column lists of the outputs.
+
+Fixed values: field names, types and the order of the output columns follow
+the feed and table definitions the pipeline must reproduce.
+"""
 
 from __future__ import annotations
 

@@ -44,3 +44,24 @@ def test_refresh_all_matches_queries(spark, tmp_dir):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     assert st.read("mark_to_market_pnl").count() == entry_mod.queries()["mark_to_market_pnl"](
         spark, SF_SMALL).count()
+
+
+@pytest.mark.parametrize("name", ["enriched_trades", "trade_anomalies", "mark_to_market_pnl"])
+def test_shuffle_join_path_matches_oracle(spark, con, name):
+    """The at-scale plan: no dimension is broadcast (every lookup is a shuffle
+    join with NULL-key salting); results must not change."""
+    from marketpulse.plans.queries import reset_plans
+    from marketpulse.sources import driver_tables
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    reset_plans()
+    driver_tables._READ_CACHE.clear()
+    try:
+        df = entry_mod.queries()[name](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        r = compare(spark, con, SF_SMALL, name, lambda s, d: df, entry_mod.oracle_sql()[name])
+        assert r["spark_rows"] == r["oracle_rows"] and r["hash_match"], r
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        reset_plans()
