@@ -25,10 +25,10 @@ def current_rows(history: DataFrame) -> DataFrame:
 
 
 def dedup_trades(raw: DataFrame) -> DataFrame:
-    """DEDUP-1 over a batch of raw trades, with ``event_time`` parsed."""
-    t = with_event_time(raw)
-    order = [ARRIVAL] if ARRIVAL in t.columns else []
-    return dedup_first(t, ["trade_id"], order)
+    """DEDUP-1 over a batch of raw trades, then ``event_time`` parsed (a
+    row-local step: only the surviving copies pay for it)."""
+    order = [ARRIVAL] if ARRIVAL in raw.columns else []
+    return with_event_time(dedup_first(raw, ["trade_id"], order))
 
 
 def clean_trades(raw: DataFrame, rules: Sequence[Rule] = TRADE_RULES) -> DataFrame:
