@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import gold, scd2, silver
 from ..operators.quality import assert_unique
 from ..sources import driver_tables as dt
+from ..sources.reference import with_backfill
 from .tables import TableStore
 
 
@@ -27,6 +28,7 @@ class Inputs:
     instruments: DataFrame
     trader_changes: DataFrame        # append-only log: trader rows + updated_at
     counterparty_changes: DataFrame  # append-only log: counterparty rows + updated_at
+    backfill: DataFrame | None = None  # historical trades (SRC-5), deduplicated with the feed
 
 
 def driver_inputs(spark: SparkSession, sf_dir: str, loaded_at: str = "2024-01-01 00:00:00") -> Inputs:
@@ -57,6 +59,8 @@ def refresh_reference(store: TableStore, instruments: DataFrame, trader_changes:
     put = _putter(store, out)
     track = track or {}
     instruments = put("raw_instruments", instruments)
+    put("raw_traders", trader_changes)
+    put("raw_counterparties", counterparty_changes)
     traders = put("scd2_traders", scd2.scd2_history(
         trader_changes, ["trader_id"], "updated_at", tie_break=tie_break, track=track.get("traders")))
     cps = put("scd2_counterparties", scd2.scd2_history(
@@ -96,7 +100,10 @@ def refresh_all(store: TableStore, inputs: Inputs, *, stamps: bool = True,
     """Run the whole pipeline once as a batch; returns table → written version path."""
     out: dict[str, str] = {}
     put = _putter(store, out)
-    raw_trades = put("raw_trades", inputs.raw_trades)
+    feed = inputs.raw_trades
+    if inputs.backfill is not None:
+        feed = with_backfill(feed, inputs.backfill)
+    raw_trades = put("raw_trades", feed)
     raw_ticks = put("raw_market_data", inputs.raw_ticks)
     out.update(refresh_reference(store, inputs.instruments, inputs.trader_changes,
                                  inputs.counterparty_changes, validate=validate))
