@@ -9,6 +9,7 @@ step that was running).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,19 @@ def _putter(store: TableStore, out: dict[str, str]):
     return put
 
 
+def _together(*steps):
+    """Run independent table writes as concurrent Spark jobs (one driver
+    thread each); returns their results in order."""
+    if len(steps) == 1:
+        return [steps[0]()]
+    with ThreadPoolExecutor(max_workers=min(len(steps), MAX_CONCURRENT_WRITES)) as pool:
+        return [f.result() for f in [pool.submit(s) for s in steps]]
+
+
+# Independent tables written at the same time.
+MAX_CONCURRENT_WRITES = 4
+
+
 def refresh_reference(store: TableStore, instruments: DataFrame, trader_changes: DataFrame,
                       counterparty_changes: DataFrame, *, validate: bool = True,
                       tie_break: list[str] | None = None, track: dict[str, list[str]] | None = None
@@ -58,18 +72,21 @@ def refresh_reference(store: TableStore, instruments: DataFrame, trader_changes:
     out: dict[str, str] = {}
     put = _putter(store, out)
     track = track or {}
-    instruments = put("raw_instruments", instruments)
-    put("raw_traders", trader_changes)
-    put("raw_counterparties", counterparty_changes)
-    traders = put("scd2_traders", scd2.scd2_history(
-        trader_changes, ["trader_id"], "updated_at", tie_break=tie_break, track=track.get("traders")))
-    cps = put("scd2_counterparties", scd2.scd2_history(
-        counterparty_changes, ["counterparty_id"], "updated_at", tie_break=tie_break,
-        track=track.get("counterparties")))
+    instruments, _, _, traders, cps = _together(
+        lambda: put("raw_instruments", instruments),
+        lambda: put("raw_traders", trader_changes),
+        lambda: put("raw_counterparties", counterparty_changes),
+        lambda: put("scd2_traders", scd2.scd2_history(
+            trader_changes, ["trader_id"], "updated_at", tie_break=tie_break,
+            track=track.get("traders"))),
+        lambda: put("scd2_counterparties", scd2.scd2_history(
+            counterparty_changes, ["counterparty_id"], "updated_at", tie_break=tie_break,
+            track=track.get("counterparties"))))
     if validate:
-        assert_unique(instruments, ["ticker"], "raw_instruments")
-        assert_unique(silver.current_rows(traders), ["trader_id"], "scd2_traders")
-        assert_unique(silver.current_rows(cps), ["counterparty_id"], "scd2_counterparties")
+        _together(lambda: assert_unique(instruments, ["ticker"], "raw_instruments"),
+                  lambda: assert_unique(silver.current_rows(traders), ["trader_id"], "scd2_traders"),
+                  lambda: assert_unique(silver.current_rows(cps), ["counterparty_id"],
+                                        "scd2_counterparties"))
     return out
 
 
@@ -84,14 +101,16 @@ def refresh_aggregates(store: TableStore, trades: DataFrame, ticks: DataFrame, *
     """Latest prices, positions and the six gold tables from silver trades and ticks."""
     out: dict[str, str] = {}
     put = _putter(store, out)
-    latest = put("latest_market_prices", silver.latest_prices(ticks))
-    positions = put("positions", silver.positions(trades, calculated_at=stamps))
-    put("desk_pnl", gold.desk_pnl(trades, calculated_at=stamps))
-    put("risk_exposure_by_sector", gold.risk_exposure_by_sector(trades, calculated_at=stamps))
-    put("counterparty_exposure", gold.counterparty_exposure(trades, calculated_at=stamps))
-    put("trade_anomalies", gold.trade_anomalies(trades, detected_at=stamps))
-    put("hourly_trade_volume", gold.hourly_trade_volume(trades, calculated_at=stamps))
-    put("mark_to_market_pnl", gold.mark_to_market_pnl(positions, latest, calculated_at=stamps))
+    latest, positions = _together(
+        lambda: put("latest_market_prices", silver.latest_prices(ticks)),
+        lambda: put("positions", silver.positions(trades, calculated_at=stamps)))
+    _together(
+        lambda: put("desk_pnl", gold.desk_pnl(trades, calculated_at=stamps)),
+        lambda: put("risk_exposure_by_sector", gold.risk_exposure_by_sector(trades, calculated_at=stamps)),
+        lambda: put("counterparty_exposure", gold.counterparty_exposure(trades, calculated_at=stamps)),
+        lambda: put("trade_anomalies", gold.trade_anomalies(trades, detected_at=stamps)),
+        lambda: put("hourly_trade_volume", gold.hourly_trade_volume(trades, calculated_at=stamps)),
+        lambda: put("mark_to_market_pnl", gold.mark_to_market_pnl(positions, latest, calculated_at=stamps)))
     return out
 
 
@@ -103,14 +122,15 @@ def refresh_all(store: TableStore, inputs: Inputs, *, stamps: bool = True,
     feed = inputs.raw_trades
     if inputs.backfill is not None:
         feed = with_backfill(feed, inputs.backfill)
-    raw_trades = put("raw_trades", feed)
-    raw_ticks = put("raw_market_data", inputs.raw_ticks)
+    raw_trades, raw_ticks = _together(lambda: put("raw_trades", feed),
+                                      lambda: put("raw_market_data", inputs.raw_ticks))
     out.update(refresh_reference(store, inputs.instruments, inputs.trader_changes,
                                  inputs.counterparty_changes, validate=validate))
     instruments, traders, cps = load_dims(store)
-    ticks = put("enriched_market_data", silver.enrich_ticks(raw_ticks, processed_at=stamps))
-    trades = put("enriched_trades",
-                 silver.enriched_trades(raw_trades, instruments, traders, cps, processed_at=stamps),
-                 trades_partition_by)
+    ticks, trades = _together(
+        lambda: put("enriched_market_data", silver.enrich_ticks(raw_ticks, processed_at=stamps)),
+        lambda: put("enriched_trades",
+                    silver.enriched_trades(raw_trades, instruments, traders, cps, processed_at=stamps),
+                    trades_partition_by))
     out.update(refresh_aggregates(store, trades, ticks, stamps=stamps))
     return out

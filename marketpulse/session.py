@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -43,21 +44,25 @@ def get_session(master: str | None = None, app_name: str = "marketpulse",
     return spark
 
 
+_CKPT_LOCK = threading.Lock()
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
     Read from ``spark.checkpoint.dir``; only when it is unset (local tests)
     a fresh scratch folder is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if d:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
+    with _CKPT_LOCK:
+        d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+        if d:
+            if not spark.sparkContext.getCheckpointDir():
+                spark.sparkContext.setCheckpointDir(d)
+            return d
+        d = tempfile.mkdtemp(prefix="marketpulse-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", d)
+        spark.sparkContext.setCheckpointDir(d)
         return d
-    d = tempfile.mkdtemp(prefix="marketpulse-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
