@@ -2,7 +2,6 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from marketpulse.plans.joins import fits_broadcast, lookup_join, planned_bytes
 from marketpulse.schemas import TRADE_RAW
