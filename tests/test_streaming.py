@@ -42,6 +42,16 @@ def test_ticks_stream_equals_batch(spark, tmp_dir):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+def test_half_written_batch_is_not_read(spark, tmp_dir):
+    import os
+    sink = f"{tmp_dir}/sink"
+    spark.range(3).write.parquet(f"{sink}/batch_id=0")
+    spark.range(5).write.parquet(f"{sink}/batch_id=1")
+    os.remove(f"{sink}/batch_id=1/_SUCCESS")        # as if still committing
+    assert read_batch_dirs(spark, sink).count() == 3
+    assert read_batch_dirs(spark, f"{tmp_dir}/none") is None
+
+
 def test_trigger_modes():
     assert trigger_args("continuous") == {"processingTime": "10 seconds"}
     assert trigger_args("triggered") == {"availableNow": True}
