@@ -26,6 +26,8 @@ def main(argv=None) -> None:
     ap.add_argument("--mode", choices=["triggered", "continuous"], default="triggered")
     ap.add_argument("--refresh-seconds", type=float, default=60.0)
     ap.add_argument("--max-files-per-trigger", type=int, default=None)
+    ap.add_argument("--dedup-within", default=None,
+                    help="bound the trade dedup state, e.g. '7 days' (default: exact, unbounded)")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = get_session(a.master)
@@ -35,7 +37,7 @@ def main(argv=None) -> None:
                     load_id=str(int(time.time())))
     load_reference(spark, paths, ref)
     run_pipeline(spark, paths, a.trades, a.ticks, mode=a.mode, refresh_seconds=a.refresh_seconds,
-                 max_files_per_trigger=a.max_files_per_trigger)
+                 max_files_per_trigger=a.max_files_per_trigger, dedup_within=a.dedup_within)
 
 
 if __name__ == "__main__":

@@ -25,7 +25,17 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | No
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
-def dedup_stream(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stateful dedup for the life of the stream (no watermark: the input
-    carries future-dated rows that would evict live state)."""
-    return df.dropDuplicates(list(keys))
+def dedup_stream(df: DataFrame, keys: Sequence[str], within: str | None = None,
+                 time_col: str = "event_time", arrival_col: str = "_ingested_at") -> DataFrame:
+    """Stateful dedup on a stream.
+
+    ``within=None`` (default): exact, state kept for the life of the stream.
+    ``within="7 days"``: bounded state with ``dropDuplicatesWithinWatermark``;
+    copies arriving later than that are no longer caught. The watermark runs
+    on ``least(event time, arrival time)``: a future-dated row cannot push it
+    ahead and evict the state of live trades."""
+    if within is None:
+        return df.dropDuplicates(list(keys))
+    clock = F.least(F.col(time_col).cast("timestamp"), F.col(arrival_col).cast("timestamp"))
+    return (df.withColumn("__dedup_time", clock).withWatermark("__dedup_time", within)
+              .dropDuplicatesWithinWatermark(list(keys)).drop("__dedup_time"))

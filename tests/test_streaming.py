@@ -52,6 +52,23 @@ def test_half_written_batch_is_not_read(spark, tmp_dir):
     assert read_batch_dirs(spark, f"{tmp_dir}/none") is None
 
 
+def test_bounded_dedup_survives_future_dated_rows(spark, tmp_dir):
+    landing, sink, ck = f"{tmp_dir}/landing", f"{tmp_dir}/sink", f"{tmp_dir}/ck"
+    inst, trd, cps = dims(spark)
+    load = lambda: (inst, trd, cps)
+    import datetime
+    now = datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.000Z")
+    trades_df(spark, [trade("T-1", ts=now), trade("T-9", ts="2030-12-31T23:59:59.999Z")]).write.json(landing)
+    _run(start_trades(trades_stream(spark, landing), sink, ck, load, processed_at=False,
+                      dedup_within="1 hour"))
+    trades_df(spark, [trade("T-1", ts=now), trade("T-2", ts=now)]).write.mode("append").json(landing)
+    _run(start_trades(trades_stream(spark, landing), sink, ck, load, processed_at=False,
+                      dedup_within="1 hour"))
+    out = read_batch_dirs(spark, sink)
+    assert sorted(r.trade_id for r in out.collect()) == ["T-1", "T-2", "T-9"]
+    assert "__dedup_time" not in out.columns
+
+
 def test_trigger_modes():
     assert trigger_args("continuous") == {"processingTime": "10 seconds"}
     assert trigger_args("triggered") == {"availableNow": True}
