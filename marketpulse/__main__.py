@@ -28,6 +28,8 @@ def main(argv=None) -> None:
     ap.add_argument("--max-files-per-trigger", type=int, default=None)
     ap.add_argument("--dedup-within", default=None,
                     help="bound the trade dedup state, e.g. '7 days' (default: exact, unbounded)")
+    ap.add_argument("--full-refresh", action="store_true",
+                    help="recompute gold from all silver rows instead of folding in new batches")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = get_session(a.master)
@@ -37,7 +39,8 @@ def main(argv=None) -> None:
                     load_id=str(int(time.time())))
     load_reference(spark, paths, ref)
     run_pipeline(spark, paths, a.trades, a.ticks, mode=a.mode, refresh_seconds=a.refresh_seconds,
-                 max_files_per_trigger=a.max_files_per_trigger, dedup_within=a.dedup_within)
+                 max_files_per_trigger=a.max_files_per_trigger, dedup_within=a.dedup_within,
+                 incremental=not a.full_refresh)
 
 
 if __name__ == "__main__":

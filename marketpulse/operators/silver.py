@@ -89,15 +89,16 @@ def enrich_ticks(raw: DataFrame, rules: Sequence[Rule] = TICK_RULES, *,
     return t
 
 
-def latest_prices(ticks: DataFrame) -> DataFrame:
+def latest_prices(ticks: DataFrame, keep_id: bool = False) -> DataFrame:
     """WN-1: newest tick per ticker (ties: greater tick_id; NULL times last).
 
     ``row_number() = 1`` is planned with a map-side ``WindowGroupLimit``: a
     hot ticker is cut to one row per task before the shuffle."""
     w = Window.partitionBy("ticker").orderBy(F.col("event_time").desc_nulls_last(),
                                              F.col("tick_id").desc_nulls_last())
+    cols = LATEST_PRICE_COLUMNS + (["tick_id"] if keep_id else [])
     return (ticks.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1)
-            .select(*LATEST_PRICE_COLUMNS))
+            .select(*cols))
 
 
 def positions(trades: DataFrame, *, calculated_at: bool = False) -> DataFrame:
