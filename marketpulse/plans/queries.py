@@ -176,6 +176,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         t.spark, t.sf_dir, TRADE_OUT, t.deduped, t.raw_trades)),
     "stream_market_data": _q(lambda t: stream_checks.stream_market_data(t.spark, t.sf_dir, TICK_OUT)),
     "stream_scd2_history": _q(lambda t: stream_checks.stream_scd2_history(t.spark, t.sf_dir)),
+    "incremental_desk_pnl": _q(lambda t: stream_checks.incremental_tables(
+        t.spark, t.enriched, t.ticks).read("desk_pnl")),
+    "incremental_mark_to_market_pnl": _q(lambda t: stream_checks.incremental_tables(
+        t.spark, t.enriched, t.ticks).read("mark_to_market_pnl")),
     "dash_cards": _q(lambda t: dashboard.cards(t.desk_pnl, t.mtm)),
     "dash_pnl_by_desk": _q(lambda t: dashboard.pnl_by_desk(t.desk_pnl)),
     "dash_volume_by_sector": _q(lambda t: dashboard.volume_by_sector(t.sector_exposure)),
