@@ -364,6 +364,7 @@ FROM ch"""),
 SELECT tick_id, ticker, bid, ask, last_price, spread, tick_volume, cumulative_volume, exchange, asset_class,
        event_time, mid_price, spread_bps FROM ticks"""),
     "stream_scd2_history": with_ctes(SCD2_TRACKED, select="SELECT * FROM hist"),
+    "stream_scd2_history_bucketed": with_ctes(SCD2_TRACKED, select="SELECT * FROM hist"),
     "incremental_desk_pnl": with_ctes(*_T, DESK_PNL, select="SELECT * FROM desk_pnl"),
     "incremental_mark_to_market_pnl": with_ctes(*_T, POSITIONS, *_TICK, LATEST, MTM, select="SELECT * FROM mtm"),
     "dash_cards": with_ctes(*_T, DESK_PNL, POSITIONS, *_TICK, LATEST, MTM, select="""

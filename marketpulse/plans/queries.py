@@ -176,6 +176,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         t.spark, t.sf_dir, TRADE_OUT, t.deduped, t.raw_trades)),
     "stream_market_data": _q(lambda t: stream_checks.stream_market_data(t.spark, t.sf_dir, TICK_OUT)),
     "stream_scd2_history": _q(lambda t: stream_checks.stream_scd2_history(t.spark, t.sf_dir)),
+    "stream_scd2_history_bucketed": _q(lambda t: stream_checks.stream_scd2_history(
+        t.spark, t.sf_dir, buckets=16)),
     "incremental_desk_pnl": _q(lambda t: stream_checks.incremental_tables(
         t.spark, t.enriched, t.ticks).read("desk_pnl")),
     "incremental_mark_to_market_pnl": _q(lambda t: stream_checks.incremental_tables(

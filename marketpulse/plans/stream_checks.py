@@ -60,20 +60,24 @@ def stream_market_data(spark: SparkSession, sf_dir: str, tick_out: list[str]) ->
     return spark.read.parquet(sink).select(*tick_out)
 
 
-def stream_scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_scd2_history(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> DataFrame:
     """Two waves of the change log; the second carries older sequence values
-    for keys already seen (late changes), which must split open versions."""
+    for keys already seen (late changes), which must split open versions.
+    ``buckets``: the key-bucketed layout (only touched buckets rewritten)."""
     base = _base(spark, "stream-scd2")
     log_in, log, ck = f"{base}/changes", f"{base}/log", f"{base}/checkpoint"
     store = TableStore(spark, f"{base}/tables")
     changes = dt.customer_priority_changes(spark, sf_dir)
     urgent = changes.priority.isin("1-URGENT", "2-HIGH")
     changes.filter(urgent).write.mode("overwrite").parquet(log_in)
-    kw = dict(tie_break=["priority"], track=["priority"])
+    kw = dict(tie_break=["priority"], track=["priority"], buckets=buckets)
     stream = lambda: change_log_stream(spark, log_in, changes.schema)
     _run(start_scd2(stream(), log, store, "history", ["customer_id"], "updated_at", ck, **kw))
     changes.filter(~urgent).write.mode("append").parquet(log_in)
     _run(start_scd2(stream(), log, store, "history", ["customer_id"], "updated_at", ck, **kw))
+    if buckets:
+        from .tables import BucketedVersions
+        return BucketedVersions(spark, store.table_dir("history"), buckets).read()
     return store.read("history")
 
 

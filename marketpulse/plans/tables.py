@@ -130,3 +130,68 @@ def publish(spark: SparkSession, store: TableStore, names: list[str] | None = No
                   f"COMMENT '{comment}' TBLPROPERTIES ('quality' = '{info.layer}')")
         done.append(f"{info.layer}.{name}")
     return done
+
+
+BUCKET = "__bucket"
+VERSION = "__version"
+
+
+class BucketedVersions:
+    """A table split into key-hash buckets, each bucket versioned on its own.
+
+    A write of version ``n`` holds only the buckets it changes
+    (``<root>/__version=<n>/__bucket=<b>/``); the live table is, per bucket, the
+    newest committed version. Reading "as of before n" ignores version ``n``
+    and later, so a replayed write of ``n`` sees exactly what the first
+    attempt saw."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self._Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def bucket_of(self, keys: list[str]):
+        from pyspark.sql import functions as F
+        return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(self.buckets)).cast("int")
+
+    def _fs(self):
+        return self._Path(self.root).getFileSystem(self._conf)
+
+    def paths(self, before: int | None = None, buckets: list[int] | None = None) -> dict[int, str]:
+        """bucket → folder of its newest committed version (older than ``before``)."""
+        fs = self._fs()
+        root = self._Path(self.root)
+        if not fs.exists(root):
+            return {}
+        versions = []
+        for st in fs.listStatus(root):
+            n = st.getPath().getName()
+            if n.startswith(VERSION + "=") and n.split("=", 1)[1].isdigit() and \
+                    fs.exists(self._Path(f"{self.root}/{n}/_SUCCESS")):
+                v = int(n.split("=", 1)[1])
+                if before is None or v < before:
+                    versions.append(v)
+        want = set(buckets) if buckets is not None else None
+        out: dict[int, str] = {}
+        for v in sorted(versions, reverse=True):
+            for st in fs.listStatus(self._Path(f"{self.root}/{VERSION}={v}")):
+                n = st.getPath().getName()
+                if n.startswith(f"{BUCKET}="):
+                    b = int(n.split("=", 1)[1])
+                    if b not in out and (want is None or b in want):
+                        out[b] = f"{self.root}/{VERSION}={v}/{n}"
+        return out
+
+    def read(self, before: int | None = None, buckets: list[int] | None = None,
+             schema=None) -> DataFrame | None:
+        ps = self.paths(before, buckets)
+        if not ps:
+            return None
+        r = self.spark.read.option("basePath", self.root)
+        if schema is not None:
+            r = r.schema(schema)
+        return r.parquet(*ps.values()).drop(BUCKET, VERSION)   # one scan over the live buckets
+
+    def write(self, df: DataFrame, version: int) -> None:
+        """``df`` carries the bucket column; only its buckets are replaced."""
+        df.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/{VERSION}={version}")
