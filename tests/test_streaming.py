@@ -69,6 +69,20 @@ def test_bounded_dedup_survives_future_dated_rows(spark, tmp_dir):
     assert "__dedup_time" not in out.columns
 
 
+def test_compaction_keeps_every_row_once(spark, tmp_dir):
+    from marketpulse.streaming.sinks import committed_batch_dirs, compact_batches
+    sink = f"{tmp_dir}/sink"
+    for i in range(5):
+        spark.range(i * 10, i * 10 + 10).write.parquet(f"{sink}/batch_id={i}")
+    assert compact_batches(spark, sink, 2)
+    assert read_batch_dirs(spark, sink).count() == 50
+    assert [d.rsplit("=", 1)[1] for d in committed_batch_dirs(spark, sink)] == ["3", "4"]
+    assert compact_batches(spark, sink, 4)
+    df = read_batch_dirs(spark, sink)
+    assert df.count() == 50 and df.distinct().count() == 50
+    assert committed_batch_dirs(spark, sink) == []
+
+
 def test_trigger_modes():
     assert trigger_args("continuous") == {"processingTime": "10 seconds"}
     assert trigger_args("triggered") == {"availableNow": True}
