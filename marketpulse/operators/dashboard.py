@@ -109,3 +109,22 @@ def positions_detail(mtm: DataFrame) -> DataFrame:
                              (F.col("last_price") - F.col("avg_price")) / F.col("avg_price") * 100), 2)
         .alias("price_change_pct"),
         "market_value_usd", "unrealized_pnl_usd", "pnl_pct")
+
+
+def from_catalog(spark) -> dict[str, DataFrame]:
+    """DB-1..DB-10 over the published gold tables (``plans.tables.publish``)."""
+    t = spark.table
+    desk, sector, anomalies = t("gold.desk_pnl"), t("gold.risk_exposure_by_sector"), t("gold.trade_anomalies")
+    hourly, mtm = t("gold.hourly_trade_volume"), t("gold.mark_to_market_pnl")
+    return {
+        "cards": cards(desk, mtm),
+        "pnl_by_desk": pnl_by_desk(desk),
+        "volume_by_sector": volume_by_sector(sector),
+        "volume_over_time": volume_over_time(hourly),
+        "anomaly_counts": anomaly_counts(anomalies),
+        "exposure_by_sector": exposure_by_sector(sector),
+        "anomaly_detail": anomaly_detail(anomalies),
+        "risk_breaches": risk_breaches(anomalies),
+        "unrealized_by": unrealized_by(mtm),
+        "positions_detail": positions_detail(mtm),
+    }

@@ -72,3 +72,28 @@ def test_duplicate_dimension_keys_are_reported(spark):
     with pytest.raises(ValueError):
         assert_unique(df, ["k"], "dim")
     assert_unique(df, ["k", "v"], "dim")
+
+
+def test_sample_shape_json_lines(spark, tmp_dir):
+    """A JSON-lines batch with the feed sample's mix: 50 records, 6 flagged
+    (negative price, 2 zero quantities, null ticker, missing trader, future
+    time). Dropping leaves 46; the warnings fire on the last two."""
+    import json
+    from marketpulse.sources.files import read_trades
+    bad = {0: dict(price=-464.92, _dq_flag="negative_price"), 15: dict(quantity=0, _dq_flag="zero_qty"),
+           38: dict(quantity=0, _dq_flag="zero_qty"), 23: dict(ticker=None, _dq_flag="null_ticker"),
+           39: dict(trader_id=None, desk=None, _dq_flag="missing_trader"),
+           43: dict(timestamp="2030-12-31T23:59:59.999Z", _dq_flag="future_timestamp")}
+    with open(f"{tmp_dir}/trades.json", "w") as f:
+        for i in range(50):
+            rec = dict(trade_id=f"T-{i:04d}", ticker="AAA", side="BUY" if i % 2 else "SELL", quantity=100,
+                       price=10.5, order_type="LIMIT", trader_id="TR-1", desk="EQ", counterparty_id="CP-1",
+                       exchange="NYSE", currency="USD", asset_class="EQUITY",
+                       timestamp="2026-04-26T14:56:42.345Z")
+            rec.update(bad.get(i, {}))
+            f.write(json.dumps(rec) + "\n")
+    raw = read_trades(spark, f"{tmp_dir}/trades.json")
+    rep = _report(silver.dedup_trades(raw), TRADE_RULES, "enriched_trades")
+    assert silver.clean_trades(raw).count() == 46
+    assert {k: v[2] for k, v in rep.items() if v[2]} == {
+        "valid_price": 1, "valid_quantity": 2, "valid_ticker": 1, "valid_trader": 1, "valid_timestamp": 1}
