@@ -114,6 +114,7 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None, measure: bool = True) -> bool:
+    """Whether ``df`` is proven small enough to broadcast."""
     limit = broadcast_limit(df) if limit is None else limit
     if limit <= 0:
         return False

@@ -45,6 +45,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def _view(fn):
+    """Define a view once per (session, folder): a plan, re-executed by every action."""
+    cache: dict[tuple[int, str], DataFrame] = {}
+
+    def get(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (id(spark._jsparkSession), sf_dir)
+        if key not in cache:
+            cache[key] = fn(spark, sf_dir)
+        return cache[key]
+    get.__doc__, get.__name__, get.cache = fn.__doc__, fn.__name__, cache
+    return get
+
+
+def clear_views() -> None:
+    _READ_CACHE.clear()
+    for v in (instruments, traders, counterparties, raw_trades, raw_ticks, customer_priority_changes):
+        v.cache.clear()
+
+
 def spread(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
@@ -56,6 +75,7 @@ def _region_of_nation(spark, sf_dir) -> DataFrame:
     return lookup_join(nation, region, "n_regionkey", "r_regionkey")
 
 
+@_view
 def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(
@@ -68,6 +88,7 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast("decimal(12,2)").alias("base_price"))
 
 
+@_view
 def traders(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     s = lookup_join(s, _region_of_nation(spark, sf_dir), "s_nationkey", "n_nationkey")
@@ -81,6 +102,7 @@ def traders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("location"))
 
 
+@_view
 def counterparties(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -96,6 +118,7 @@ def counterparties(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("city"))
 
 
+@_view
 def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trade rows (TRADE_RAW columns + ``_arrival`` for the dedup order)."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -139,6 +162,7 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("l_shipdate", "l_partkey", "l_suppkey").alias("_arrival"))
 
 
+@_view
 def raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw tick rows with ``event_time`` already typed (the event clock has
     microseconds, finer than the text format)."""
@@ -163,6 +187,7 @@ def raw_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("event_time"))
 
 
+@_view
 def customer_priority_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An append-only change log: each order re-states its customer's priority."""
     o = spread(table(spark, sf_dir, "orders"))

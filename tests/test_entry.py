@@ -55,7 +55,7 @@ def test_shuffle_join_path_matches_oracle(spark, con, name):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     reset_plans()
-    driver_tables._READ_CACHE.clear()
+    driver_tables.clear_views()
     try:
         df = entry_mod.queries()[name](spark, SF_SMALL)
         plan = df._jdf.queryExecution().executedPlan().toString()
