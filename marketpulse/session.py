@@ -68,3 +68,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder (never machine-local on a cluster)."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+# Target bytes per task for scans and shuffles on a cluster.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Shuffle and scan sizing for an input of ``input_bytes`` on
+    ``total_cores`` executor cores.
+
+    AQE starts from enough shuffle partitions for ~256 MB each (at least two
+    waves of tasks) and coalesces small ones at run time; scans split files
+    at the same size. At 100 TB this gives ~400k initial shuffle partitions,
+    so no task holds more than a few hundred MB before spilling."""
+    parts = max(2 * total_cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+    }

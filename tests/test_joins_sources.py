@@ -84,3 +84,11 @@ def test_lookup_join_shuffle_path_numeric_and_multi_key(spark):
     got = lookup_join(fact, dim, ["k1", "k2"], ["d1", "d2"], max_broadcast_bytes=0)
     assert sorted((r.tag, r.name) for r in got.collect()) == [("a", "X"), ("b", None), ("c", None), ("d", "Y")]
     assert got.columns == ["k1", "k2", "tag", "name"]
+
+
+def test_scale_conf():
+    from marketpulse.session import scale_conf
+    big = scale_conf(100 * 2 ** 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = scale_conf(10 * 2 ** 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
