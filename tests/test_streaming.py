@@ -83,6 +83,20 @@ def test_compaction_keeps_every_row_once(spark, tmp_dir):
     assert committed_batch_dirs(spark, sink) == []
 
 
+def test_stream_glob_picks_files_in_a_directory(spark, tmp_dir):
+    landing, sink, ck = f"{tmp_dir}/landing", f"{tmp_dir}/sink", f"{tmp_dir}/ck"
+    import os
+    os.makedirs(landing)
+    with open(f"{landing}/ticks_a.json", "w") as f:
+        f.write('{"tick_id": "M1", "ticker": "AAA", "bid": 1.0, "ask": 1.2, "spread": 0.2, '
+                '"timestamp": "2026-04-26T14:56:42.898Z"}\n')
+    with open(f"{landing}/other.txt", "w") as f:
+        f.write('{"tick_id": "X1", "ticker": "AAA", "bid": 1.0, "ask": 1.2}\n')
+    _run(start_ticks(ticks_stream(spark, landing, glob="*.json"), sink, ck))
+    got = spark.read.parquet(sink).collect()
+    assert [r.tick_id for r in got] == ["M1"] and got[0].mid_price == 1.1
+
+
 def test_trigger_modes():
     assert trigger_args("continuous") == {"processingTime": "10 seconds"}
     assert trigger_args("triggered") == {"availableNow": True}
