@@ -113,7 +113,7 @@ def incremental_tables(spark: SparkSession, enriched: DataFrame, ticks: DataFram
     for n in range(1, len(WAVES) + 1):
         ids = list(range(n))
         refresh_incremental(store, ids, reader(enriched), ids, reader(ticks),
-                            _union([_wave(enriched, i) for i in ids]))
+                            _union([_wave(enriched, i) for i in ids]), stamps=False)
     return store
 
 

@@ -28,10 +28,10 @@ def test_incremental_equals_full_recompute(spark, tmp_dir):
             return out
         return read
     rt, rk = reader(trades), reader(ticks)
-    refresh_incremental(store, [0], rt, [0], rk, trades[0])
-    refresh_incremental(store, [0, 1], rt, [0, 1], rk, trades[0].unionByName(trades[1]))
-    refresh_incremental(store, [0, 1, 2], rt, [0, 1, 2], rk, t.enriched)
-    refresh_incremental(store, [0, 1, 2], rt, [0, 1, 2], rk, t.enriched)   # nothing new: no change
+    refresh_incremental(store, [0], rt, [0], rk, trades[0], stamps=False)
+    refresh_incremental(store, [0, 1], rt, [0, 1], rk, trades[0].unionByName(trades[1]), stamps=False)
+    refresh_incremental(store, [0, 1, 2], rt, [0, 1, 2], rk, t.enriched, stamps=False)
+    refresh_incremental(store, [0, 1, 2], rt, [0, 1, 2], rk, t.enriched, stamps=False)  # no change
     want = {"desk_pnl": t.desk_pnl, "risk_exposure_by_sector": t.sector_exposure,
             "positions": t.positions, "hourly_trade_volume": t.hourly,
             "latest_market_prices": t.latest, "mark_to_market_pnl": t.mtm,
