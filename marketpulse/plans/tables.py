@@ -195,3 +195,21 @@ class BucketedVersions:
     def write(self, df: DataFrame, version: int) -> None:
         """``df`` carries the bucket column; only its buckets are replaced."""
         df.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/{VERSION}={version}")
+
+    def vacuum(self, before: int | None = None) -> list[int]:
+        """Delete versions that no bucket reads any more (all their buckets
+        rewritten later); ``before`` keeps newer versions for in-flight readers."""
+        live = {int(p.split(f"{VERSION}=", 1)[1].split("/", 1)[0]) for p in self.paths().values()}
+        fs = self._fs()
+        root = self._Path(self.root)
+        gone = []
+        if not fs.exists(root):
+            return gone
+        for st in fs.listStatus(root):
+            n = st.getPath().getName()
+            if n.startswith(VERSION + "=") and n.split("=", 1)[1].isdigit():
+                v = int(n.split("=", 1)[1])
+                if v not in live and (before is None or v < before):
+                    fs.delete(st.getPath(), True)
+                    gone.append(v)
+        return sorted(gone)
