@@ -97,3 +97,26 @@ def test_bucketed_scd2_batches_equal_batch_history(spark, tmp_dir):
     assert len(hist.paths(before=4)) >= 1
     import os
     assert len([d for d in os.listdir(f"{tmp_dir}/hist/__version=3") if d.startswith("__bucket=")]) == 1
+
+
+def test_refresh_all_with_backfill(spark, tmp_dir):
+    import datetime as dt
+    from helpers import tick, ticks_df
+    from marketpulse.plans.pipeline import Inputs, refresh_all
+    inst, trd, cps = dims(spark)
+    when = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    hist = spark.createDataFrame(
+        [("T-H", "AAA", "BUY", 10, Decimal("11.00"), "TR-1", "EQ", "CP-1", dt.datetime(2024, 1, 2, 3, 0)),
+         ("T-1", "AAA", "BUY", 10, Decimal("99.00"), "TR-1", "EQ", "CP-1", dt.datetime(2024, 1, 2, 4, 0))],
+        "trade_id string, ticker string, side string, quantity int, price decimal(12,2), trader_id string, "
+        "desk string, counterparty_id string, timestamp timestamp_ntz")
+    inputs = Inputs(raw_trades=trades_df(spark, [trade("T-1"), trade("T-2", side="SELL")]),
+                    raw_ticks=ticks_df(spark, [tick("M1")]), instruments=inst,
+                    trader_changes=trd.withColumn("updated_at", when),
+                    counterparty_changes=cps.withColumn("updated_at", when), backfill=hist)
+    store = TableStore(spark, f"{tmp_dir}/tables")
+    written = refresh_all(store, inputs)
+    assert len(written) == 17
+    trades = {r.trade_id: r for r in store.read("enriched_trades").collect()}
+    assert set(trades) == {"T-1", "T-2", "T-H"}            # the backfill copy of T-1 is a duplicate
+    assert trades["T-H"].price == 11.0 and trades["T-H"].trader_name == "Ann"
