@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import threading
 
@@ -50,8 +51,9 @@ _CKPT_LOCK = threading.Lock()
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests)
-    a fresh scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``. Where it is unset, a local master gets
+    a fresh scratch folder; on a cluster that folder would be another one on
+    each machine, so the setting is asked for instead.
     """
     with _CKPT_LOCK:
         d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -59,6 +61,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
             if not spark.sparkContext.getCheckpointDir():
                 spark.sparkContext.setCheckpointDir(d)
             return d
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[(\*|\d+)(,\s*\d+)?\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all of {master} shares")
         d = tempfile.mkdtemp(prefix="marketpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
