@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from marketpulse.session import checkpoint_dir
 
-# The white space of the word rule, 0x20 and 0x09-0x0D.
-WORD_SPACE = " \t\n\u000b\u000c\r"
+# Fixed value: the white space of the word rule.
+SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,13 +25,18 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def words(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+``; empty for NULL."""
-    flat = F.translate(F.coalesce(text, F.lit("")), WORD_SPACE[1:], " " * (len(WORD_SPACE) - 1))
-    return F.array_remove(F.split(flat, " "), "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+"), "")
 
 
 def lower_ascii(text: Column) -> Column:
-    """A-Z to a-z and nothing else (``lower`` would also fold other alphabets)."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """A-Z to a-z and nothing else: ``lower`` would also fold other alphabets,
+    so it serves only for texts of one byte per character."""
+    return (F.when(F.octet_length(text) == F.char_length(text), F.lower(text))
+            .otherwise(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+
+
+def sha256_hex(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
 
 
 class Scratch:
