@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from marketpulse.llm.common import table
+from marketpulse.llm.decontaminate import contamination
+from marketpulse.llm.pieces import default_model, encode_column, read_pieces
+from marketpulse.llm.pii import personal_data
+from marketpulse.llm.quality import quality
 from marketpulse.llm.simhash import near_duplicates
 
 
@@ -10,8 +14,28 @@ def op1_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark, sf_dir):
+    return encode_column(table(spark, sf_dir, "documents"), read_pieces(default_model()))
+
+
+def op4_pii(spark, sf_dir):
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_decontamination(spark, sf_dir):
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_pii": op4_pii,
+    "op5_quality_rules": op5_quality_rules,
+    "op7_decontamination": op7_decontamination,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
