@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from marketpulse.llm.common import table
+from pyspark.sql import functions as F
+
+from marketpulse.llm.common import sha256_hex, table
 from marketpulse.llm.decontaminate import contamination
 from marketpulse.llm.pieces import default_model, encode_column, read_pieces
 from marketpulse.llm.pii import personal_data
 from marketpulse.llm.quality import quality
+from marketpulse.llm.relative_lz import remove_repeats
+from marketpulse.llm.run_index import remove_repeated_bytes
 from marketpulse.llm.simhash import near_duplicates
 
 
@@ -14,6 +18,11 @@ def op1_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", sha256_hex(F.col("kept")).alias("kept_sha256"))
+
+
 def op3_sentencepiece(spark, sf_dir):
     return encode_column(table(spark, sf_dir, "documents"), read_pieces(default_model()))
 
@@ -26,15 +35,23 @@ def op5_quality_rules(spark, sf_dir):
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_suffix_array_dedup(spark, sf_dir):
+    return remove_repeated_bytes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        sha256_hex(F.col("kept")).alias("kept_sha256"))
+
+
 def op7_decontamination(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_pii": op4_pii,
     "op5_quality_rules": op5_quality_rules,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_decontamination": op7_decontamination,
 }
 
