@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import id_text, lower_ascii, sha256_hex
+from marketpulse.llm.common import Scratch, id_text, lower_ascii, sha256_hex
 
 WINDOW = 10
 #: Distinct n-grams up to which the set is broadcast (about 100 bytes each).
@@ -91,8 +91,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
         put = F.broadcast if small else (lambda df: df)
         grams = items.select("gram").distinct()
         hits = _windows(src, sorted(facts["lens"]), CHUNK_WORDS).join(put(grams), "gram")
-        per_gram = hits.groupBy("doc_id", "text_key", "gram").agg(
-            F.collect_set(F.struct("pos", "len")).alias("at"))
+        per_gram = Scratch(docs.sparkSession, "decontaminate").save(   # read twice below
+            hits.groupBy("doc_id", "text_key", "gram").agg(F.collect_set(F.struct("pos", "len")).alias("at")), "hits")
         spans = per_gram.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("at")).alias("at"),
                                                            F.collect_list("gram").alias("grams"))
         named = (spans.select("doc_id", "text_key", F.explode("grams").alias("gram"))
