@@ -168,6 +168,7 @@ def mask_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``docs`` with personal data masked in the text; all other columns as they were."""
     whole = F.struct(*[docs[c] for c in docs.columns])
     src = find_spans(docs.select(docs[text_col].alias("text"), whole.alias("_row")))
+    # NULL stays NULL, and a text without spans is passed on as it is.
     clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(masked(F.col("text"), F.col("spans")))
     out = [clean.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns]
     return src.select(*out)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marketpulse.llm.chat import format_chats
 from marketpulse.llm.common import sha256_hex, table
 from marketpulse.llm.decontaminate import contamination
 from marketpulse.llm.pieces import default_model, encode_column, read_pieces
@@ -11,7 +12,9 @@ from marketpulse.llm.pii import personal_data
 from marketpulse.llm.quality import quality
 from marketpulse.llm.relative_lz import remove_repeats
 from marketpulse.llm.run_index import remove_repeated_bytes
+from marketpulse.llm.sharding import shard_rows
 from marketpulse.llm.simhash import near_duplicates
+from marketpulse.llm.toxicity import toxicity
 
 
 def op1_simhash_near_dedup(spark, sf_dir):
@@ -45,6 +48,18 @@ def op7_decontamination(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_chat_formatting(spark, sf_dir):
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op9_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_sharding(spark, sf_dir):
+    return shard_rows(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -53,6 +68,9 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_chat_formatting": op8_chat_formatting,
+    "op9_toxicity": op9_toxicity,
+    "op10_sharding": op10_sharding,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
