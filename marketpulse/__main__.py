@@ -10,7 +10,6 @@ python -m marketpulse --root OUT --trades DIR --ticks DIR --reference DIR [--mod
 from __future__ import annotations
 
 import argparse
-import time
 
 from .session import get_session
 from .sources.reference import read_reference_csv
@@ -34,13 +33,14 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = get_session(a.master)
     paths = LivePaths(a.root)
-    ref = Reference(*(read_reference_csv(spark, f"{a.reference}/{k}.csv", k)
-                      for k in ("instruments", "traders", "counterparties")),
-                    load_id=str(int(time.time())))
-    load_reference(spark, paths, ref)
+
+    def reload() -> Reference:
+        return Reference(*(read_reference_csv(spark, f"{a.reference}/{k}.csv", k)
+                           for k in ("instruments", "traders", "counterparties")))
+    load_reference(spark, paths, reload())
     run_pipeline(spark, paths, a.trades, a.ticks, mode=a.mode, refresh_seconds=a.refresh_seconds,
                  max_files_per_trigger=a.max_files_per_trigger, dedup_within=a.dedup_within,
-                 incremental=not a.full_refresh)
+                 incremental=not a.full_refresh, reload=reload)
 
 
 if __name__ == "__main__":

@@ -3,6 +3,9 @@
 Half-cent ties and float sums depend on evaluation order, so amounts are
 rounded and summed as decimals and turned back into doubles at the output.
 Prices and notionals carry whole cents; ``CENTS`` holds them exactly.
+
+No amount stops a job: one that no decimal holds (NaN, or beyond 10^26) keeps
+its row and its plain double product, and is left out of exact sums and means.
 """
 
 from __future__ import annotations
@@ -10,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CENTS = "decimal(18,2)"        # one price or notional
-FINE = "decimal(20,6)"         # a price that may carry sub-cent digits
+CENTS = "decimal(28,2)"        # one price or notional
+FINE = "decimal(28,6)"         # a price that may carry sub-cent digits
 WIDE = "decimal(38,10)"        # a double, held while it is rounded
 
 
@@ -30,21 +33,23 @@ def round_half_up(c, scale: int) -> Column:
 
 def money_sum(c) -> Column:
     """Exact sum of whole-cent amounts, as double."""
-    return F.sum(_col(c).cast(CENTS)).cast("double")
+    return F.sum(_col(c).try_cast(CENTS)).cast("double")
 
 
 def money_sum_dec(c) -> Column:
     """Exact sum of whole-cent amounts, kept decimal for later arithmetic."""
-    return F.sum(_col(c).cast(CENTS))
+    return F.sum(_col(c).try_cast(CENTS))
 
 
 def exact_avg(c, as_type: str = CENTS) -> Column:
     """Mean as ``double(exact sum) / count`` — one rounding, engine independent."""
-    x = _col(c)
-    return F.sum(x.cast(as_type)).cast("double") / F.count(x)
+    x = _col(c).try_cast(as_type)
+    return F.sum(x).cast("double") / F.count(x)
 
 
 def notional(price, quantity) -> Column:
     """``round(price * quantity, 2)`` with the product formed in decimals
-    (prices keep sub-cent digits until the product is rounded)."""
-    return F.round(_col(price).cast(FINE) * _col(quantity).cast("decimal(18,0)"), 2).cast("double")
+    (prices keep sub-cent digits until the product is rounded), or as doubles
+    where the decimals do not fit."""
+    exact = F.round(F.try_multiply(_col(price).try_cast(FINE), _col(quantity).cast("decimal(10,0)")), 2)
+    return F.coalesce(exact.cast("double"), _col(price) * _col(quantity))

@@ -26,16 +26,15 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | No
 
 
 def dedup_stream(df: DataFrame, keys: Sequence[str], within: str | None = None,
-                 time_col: str = "event_time", arrival_col: str = "_ingested_at") -> DataFrame:
+                 arrival_col: str = "_ingested_at") -> DataFrame:
     """Stateful dedup on a stream.
 
     ``within=None`` (default): exact, state kept for the life of the stream.
     ``within="7 days"``: bounded state with ``dropDuplicatesWithinWatermark``;
     copies arriving later than that are no longer caught. The watermark runs
-    on ``least(event time, arrival time)``: a future-dated row cannot push it
-    ahead and evict the state of live trades."""
+    on the arrival time alone, which no row of a new micro-batch is behind: a
+    trade seen for the first time is kept however old or future-dated it is."""
     if within is None:
         return df.dropDuplicates(list(keys))
-    clock = F.least(F.col(time_col).cast("timestamp"), F.col(arrival_col).cast("timestamp"))
-    return (df.withColumn("__dedup_time", clock).withWatermark("__dedup_time", within)
+    return (df.withColumn("__dedup_time", F.col(arrival_col).cast("timestamp")).withWatermark("__dedup_time", within)
               .dropDuplicatesWithinWatermark(list(keys)).drop("__dedup_time"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import CENTS, FINE, exact_avg, money_sum, money_sum_dec, round_half_up
+from ..functions.money import FINE, exact_avg, money_sum, money_sum_dec, round_half_up
 from ..functions.signs import cashflow_signed, long_part, short_part
 from ..functions.timefmt import hour_bucket
-from ..plans.joins import lookup_join
+from ..plans.joins import lookup_join, prefixed
 from ..schemas import ANOMALY_COLUMNS, MTM_COLUMNS
 
 
@@ -100,28 +100,32 @@ def ticker_stats(trades: DataFrame) -> DataFrame:
         "avg_price")
 
 
-def flag_anomalies(trades: DataFrame, stats: DataFrame,
-                   max_broadcast_bytes: int | None = None) -> DataFrame:
+def flag_anomalies(trades: DataFrame, stats: DataFrame) -> DataFrame:
     """AN-1 quantity spike (PRJ-18 ``coalesce(stddev, 0)``), AN-2 price
     deviation (compared after rounding), AN-3 risk breach, on every trade.
-    Stats (one row per ticker) are looked up by a size-checked join instead
-    of a whole-ticker window."""
-    t = lookup_join(trades, stats.withColumnRenamed("ticker", "__st_ticker"),
-                    "ticker", "__st_ticker", max_broadcast_bytes=max_broadcast_bytes, measure=False)
+    Stats (one row per ticker) are looked up by a join instead of a
+    whole-ticker window."""
+    t = lookup_join(trades, stats.withColumnRenamed("ticker", "__key"), "ticker", "__key")
     dev = F.abs(F.col("price") - F.col("avg_price")) / F.col("avg_price") * 100
     return (t.withColumn("is_qty_anomaly",
                          F.col("quantity") > F.col("avg_qty") + 3 * F.coalesce(F.col("stddev_qty"), F.lit(0.0)))
              .withColumn("price_deviation_pct", round_half_up(F.when(F.col("avg_price") != 0, dev), 2))
              .withColumn("is_price_anomaly", F.col("price_deviation_pct") > 2.0)
-             .withColumn("is_risk_breach", F.col("notional_usd") > F.col("risk_limit_usd"))
+             .withColumn("is_risk_breach", risk_breach())
              .withColumn("is_anomaly", F.col("is_qty_anomaly") | F.col("is_price_anomaly") | F.col("is_risk_breach")))
 
 
-def trade_anomalies(trades: DataFrame, *, detected_at: bool = False,
-                    max_broadcast_bytes: int | None = None) -> DataFrame:
+def risk_breach() -> Column:
+    """AN-3 by itself needs no statistics."""
+    return F.col("notional_usd") > F.col("risk_limit_usd")
+
+
+def trade_anomalies(trades: DataFrame, *, detected_at: bool = False, stats_of: DataFrame | None = None) -> DataFrame:
     """AN-4 + FLT-2: keep rows whose OR of flags is TRUE (NULL OR FALSE drops).
-    ``detected_at`` is the processing-time stamp (PRJ-17)."""
-    flagged = flag_anomalies(trades, ticker_stats(trades), max_broadcast_bytes)
+    ``detected_at`` is the processing-time stamp (PRJ-17). ``stats_of`` may be
+    the same trades before the lookups: the statistics need none of their
+    columns, so the lookups are planned once."""
+    flagged = flag_anomalies(trades, ticker_stats(trades if stats_of is None else stats_of))
     out = flagged.filter(F.col("is_anomaly") == True).select(*ANOMALY_COLUMNS)  # noqa: E712
     return _stamp(out, "detected_at", detected_at)
 
@@ -137,19 +141,20 @@ def hourly_trade_volume(trades: DataFrame, *, calculated_at: bool = False) -> Da
     return _stamp(out, "calculated_at", calculated_at)
 
 
-def mark_to_market_pnl(positions: DataFrame, prices: DataFrame, *, calculated_at: bool = False,
-                       max_broadcast_bytes: int | None = None) -> DataFrame:
+def mark_to_market_pnl(positions: DataFrame, prices: DataFrame, *, calculated_at: bool = False) -> DataFrame:
     """JN-4 + PRJ-13 market value, PRJ-14 unrealized P&L, PRJ-15 P&L %:
     positions ⟕ latest prices (PRJ-16: the price side is renamed and pruned)."""
-    slim = prices.select(F.col("ticker").alias("mkt_ticker"), "last_price", "bid", "ask",
-                         "mid_price", "spread_bps", F.col("event_time").alias("price_as_of"))
-    j = lookup_join(positions, slim, "ticker", "mkt_ticker", max_broadcast_bytes=max_broadcast_bytes,
-                    measure=False)
-    mv = F.round(F.col("net_quantity").cast("decimal(18,0)") * F.col("last_price").cast("decimal(18,6)"), 2)
-    pnl = F.round(mv - F.col("net_notional_usd").cast(CENTS), 2)
+    slim = prefixed(prices, "ticker", "__key", "last_price", "bid", "ask", "mid_price", "spread_bps",
+                    price_as_of="event_time")
+    j = lookup_join(positions, slim, "ticker", "__key")
+    exact = F.round(F.try_multiply(F.col("net_quantity").cast("decimal(20,0)"),
+                                   F.col("last_price").try_cast("decimal(17,6)")), 2).cast("decimal(36,2)")
+    mv = F.coalesce(exact.cast("double"), F.col("net_quantity") * F.col("last_price"))
+    pnl = F.coalesce(F.try_subtract(exact, F.col("net_notional_usd").try_cast("decimal(36,2)")).cast("double"),
+                     mv - F.col("net_notional_usd"))
     absn = F.abs(F.col("net_notional_usd"))
-    out = (j.withColumn("market_value_usd", mv.cast("double"))
-            .withColumn("unrealized_pnl_usd", pnl.cast("double"))
+    out = (j.withColumn("market_value_usd", mv)
+            .withColumn("unrealized_pnl_usd", pnl)
             .withColumn("pnl_pct", round_half_up(
                 F.when(absn > 0, F.col("unrealized_pnl_usd") / absn * 100).otherwise(F.lit(0.0)), 2))
             .select(*MTM_COLUMNS))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.money import FINE, exact_avg, money_sum, notional, round_half_up
 from ..functions.signs import position_side, position_signed
 from ..functions.timefmt import with_event_time
-from ..plans.joins import lookup_join
+from ..plans.joins import lookup_join, prefixed
 from ..schemas import LATEST_PRICE_COLUMNS
 from .dedup import dedup_first
 from .quality import TICK_RULES, TRADE_RULES, Rule, apply_rules
@@ -40,23 +40,20 @@ def clean_trades(raw: DataFrame, rules: Sequence[Rule] = TRADE_RULES) -> DataFra
 
 
 def enrich_trades(trades: DataFrame, instruments: DataFrame, traders: DataFrame,
-                  counterparties: DataFrame, *, processed_at: bool = False,
-                  max_broadcast_bytes: int | None = None) -> DataFrame:
+                  counterparties: DataFrame, *, processed_at: bool = False) -> DataFrame:
     """JN-1 instruments, JN-2 current traders, JN-3 current counterparties
     (each dimension renamed and pruned first, PRJ-16), then PRJ-2 notional,
     PRJ-3 trade date, PRJ-4 trade hour, PRJ-17 ``processed_at``.
 
     ``traders`` and ``counterparties`` are current rows (``current_rows``)."""
-    inst = instruments.select(F.col("ticker").alias("inst_ticker"), "company_name", "sector")
-    trd = traders.select(F.col("trader_id").alias("tr_trader_id"), "trader_name",
-                         "desk_full_name", "risk_limit_usd", "location")
-    cps = counterparties.select(F.col("counterparty_id").alias("cp_counterparty_id"),
-                                "counterparty_name", "risk_rating", "counterparty_type",
-                                F.col("country").alias("cp_country"))
+    lookups = (("ticker", prefixed(instruments, "ticker", "__key", "company_name", "sector")),
+               ("trader_id", prefixed(traders, "trader_id", "__key", "trader_name", "desk_full_name",
+                                      "risk_limit_usd", "location")),
+               ("counterparty_id", prefixed(counterparties, "counterparty_id", "__key", "counterparty_name",
+                                            "risk_rating", "counterparty_type", cp_country="country")))
     t = trades.drop(ARRIVAL) if ARRIVAL in trades.columns else trades
-    t = lookup_join(t, inst, "ticker", "inst_ticker", max_broadcast_bytes=max_broadcast_bytes)
-    t = lookup_join(t, trd, "trader_id", "tr_trader_id", max_broadcast_bytes=max_broadcast_bytes)
-    t = lookup_join(t, cps, "counterparty_id", "cp_counterparty_id", max_broadcast_bytes=max_broadcast_bytes)
+    for key, dim in lookups:
+        t = lookup_join(t, dim, key, "__key")
     t = (t.withColumn("notional_usd", notional("price", "quantity"))
           .withColumn("trade_date", F.to_date("event_time"))
           .withColumn("trade_hour", F.hour("event_time")))
@@ -76,8 +73,8 @@ def derive_ticks(raw: DataFrame) -> DataFrame:
     t = with_event_time(raw)
     mid = (F.col("bid") + F.col("ask")) / 2
     half = F.lit(Decimal("0.5"))
-    return (t.withColumn("mid_price",
-                         F.round((F.col("bid").cast(FINE) + F.col("ask").cast(FINE)) * half, 2).cast("double"))
+    exact = F.round(F.try_multiply(F.try_add(F.col("bid").try_cast(FINE), F.col("ask").try_cast(FINE)), half), 2)
+    return (t.withColumn("mid_price", F.coalesce(exact.cast("double"), mid))
              .withColumn("spread_bps", round_half_up(F.try_divide(F.col("spread"), mid) * 10000, 2)))
 
 

@@ -99,6 +99,9 @@ raw_ticks AS (
          CAST(2 + event_id % 5 + event_id % 7 AS DOUBLE) / 100 AS spread,
          CAST(event_id % 1000 AS INTEGER) AS tick_volume,
          event_id AS cumulative_volume,
+         greatest(CAST(CAST(ROUND(value * 100) AS BIGINT) + 1 + event_id % 7 AS DOUBLE) / 100, value) AS high_52w,
+         least(CAST(CAST(ROUND(value * 100) AS BIGINT) - 1 - event_id % 5 AS DOUBLE) / 100, value) AS low_52w,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS "timestamp",
          event_type AS exchange, 'EQUITY' AS asset_class,
          ts AS event_time
   FROM events
@@ -285,16 +288,26 @@ UNION ALL SELECT 'supplier', count(*) FROM supplier
 UNION ALL SELECT 'part', count(*) FROM part
 UNION ALL SELECT 'orders', count(*) FROM orders
 UNION ALL SELECT 'lineitem', count(*) FROM lineitem
-UNION ALL SELECT 'events', count(*) FROM events""",
+UNION ALL SELECT 'events', count(*) FROM events
+UNION ALL SELECT 'documents', count(*) FROM documents
+UNION ALL SELECT 'embeddings', count(*) FROM embeddings
+UNION ALL SELECT 'pages', count(*) FROM pages
+UNION ALL SELECT 'benchmark', count(*) FROM benchmark
+UNION ALL SELECT 'labels', count(*) FROM labels
+UNION ALL SELECT 'conversations', count(*) FROM conversations""",
     "parse_event_time": with_ctes(RAW_TRADES, DEDUP, select="""
 SELECT trade_id, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%gZ') AS "timestamp", event_time,
        CAST(event_time AS DATE) AS trade_date, CAST(hour(event_time) AS INTEGER) AS trade_hour
 FROM dedup"""),
     "dedup_trades": with_ctes(RAW_TRADES, DEDUP, select="""
-SELECT trade_id, ticker, side, quantity, price, trader_id, counterparty_id, event_time, _dq_flag FROM dedup"""),
+SELECT trade_id, ticker, side, quantity, price, order_type, trader_id, desk, counterparty_id, exchange, currency,
+       asset_class, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%gZ') AS "timestamp", _dq_flag, event_time FROM dedup"""),
     "dq_drop_trades": with_ctes(RAW_TRADES, DEDUP, CLEAN, select="""
-SELECT trade_id, ticker, side, quantity, price, trader_id, desk, event_time FROM clean"""),
-    "dq_drop_ticks": with_ctes(*_TICK, select="SELECT tick_id, ticker, bid, ask, event_time FROM ticks"),
+SELECT trade_id, ticker, side, quantity, price, order_type, trader_id, desk, counterparty_id, exchange, currency,
+       asset_class, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%gZ') AS "timestamp", _dq_flag, event_time FROM clean"""),
+    "dq_drop_ticks": with_ctes(*_TICK, select="""
+SELECT tick_id, ticker, bid, ask, last_price, spread, tick_volume, cumulative_volume, high_52w, low_52w, exchange,
+       asset_class, "timestamp", event_time, mid_price, spread_bps FROM ticks"""),
     "dq_warn_trades": with_ctes(RAW_TRADES, DEDUP, select="""
 SELECT 'enriched_trades' AS dataset, r.rule, r.failed_records FROM (
   SELECT
@@ -334,8 +347,8 @@ SELECT dataset, rule, action, CAST(n - failed AS BIGINT) AS passed_records, CAST
   ) u(rule, action, ok) GROUP BY u.rule, u.action) y"""),
     "enriched_trades": with_ctes(*_T, select="SELECT * FROM enriched"),
     "enriched_market_data": with_ctes(*_TICK, select="""
-SELECT tick_id, ticker, bid, ask, last_price, spread, tick_volume, cumulative_volume, exchange, asset_class,
-       event_time, mid_price, spread_bps FROM ticks"""),
+SELECT tick_id, ticker, bid, ask, last_price, spread, tick_volume, cumulative_volume, high_52w, low_52w, exchange,
+       asset_class, "timestamp", event_time, mid_price, spread_bps FROM ticks"""),
     "latest_market_prices": with_ctes(*_TICK, LATEST, select="SELECT * FROM latest"),
     "positions": with_ctes(*_T, POSITIONS, select="SELECT * FROM positions"),
     "desk_pnl": with_ctes(*_T, DESK_PNL, select="SELECT * FROM desk_pnl"),
@@ -361,12 +374,16 @@ FROM ch"""),
     "stream_market_data": with_ctes(TICKS.replace("ts AS event_time",
                                                   "CAST(strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS TIMESTAMP) AS event_time"),
                                     select="""
-SELECT tick_id, ticker, bid, ask, last_price, spread, tick_volume, cumulative_volume, exchange, asset_class,
-       event_time, mid_price, spread_bps FROM ticks"""),
+SELECT tick_id, ticker, bid, ask, last_price, spread, tick_volume, cumulative_volume, high_52w, low_52w, exchange,
+       asset_class, "timestamp", event_time, mid_price, spread_bps FROM ticks"""),
     "stream_scd2_history": with_ctes(SCD2_TRACKED, select="SELECT * FROM hist"),
     "stream_scd2_history_bucketed": with_ctes(SCD2_TRACKED, select="SELECT * FROM hist"),
     "incremental_desk_pnl": with_ctes(*_T, DESK_PNL, select="SELECT * FROM desk_pnl"),
     "incremental_mark_to_market_pnl": with_ctes(*_T, POSITIONS, *_TICK, LATEST, MTM, select="SELECT * FROM mtm"),
+    "incremental_trade_anomalies": with_ctes(*_T, STATS, FLAGGED, select="SELECT * FROM anomalies"),
+    "live_mark_to_market_pnl": with_ctes(*_T, POSITIONS, *_TICK, LATEST, MTM, select="SELECT * FROM mtm"),
+    "stream_dedup_within": with_ctes(RAW_TRADES, select="""
+SELECT trade_id, count(DISTINCT trade_id) AS copies FROM raw_trades GROUP BY trade_id"""),
     "dash_cards": with_ctes(*_T, DESK_PNL, POSITIONS, *_TICK, LATEST, MTM, select="""
 SELECT (SELECT CAST(SUM(trade_count) AS BIGINT) FROM desk_pnl) AS total_trades,
        (SELECT CAST(SUM(CAST(gross_volume_usd AS DECIMAL(38,2))) AS DOUBLE) FROM desk_pnl) AS total_volume_usd,

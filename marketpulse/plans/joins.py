@@ -1,14 +1,10 @@
-"""Fact ⟕ dimension lookups that stay safe when the dimension is not small.
+"""Fact ⟕ dimension lookups that stay safe at any dimension size.
 
-The dimension is broadcast only after its size is checked against a limit:
-first Catalyst's estimate; when that is inconclusive (the estimate of a join
-is the product of its inputs, far above the truth for a lookup chain) and
-every input of the dimension is itself small, its rows are counted and
-multiplied by the row width. Beyond the limit the join is a shuffle join, and
-AQE may still turn it into a broadcast from the sizes it measures at run time. On that path the fact rows whose
-key is NULL (they can never match) get a unique stand-in key, so they spread
-over all tasks instead of landing in one; hot non-NULL keys are split by AQE's
-skew-join handling.
+No size is guessed and nothing is hinted: Spark picks the join, and AQE turns a
+shuffle join into a broadcast from the sizes it measures at run time. Fact rows
+whose key is NULL (they can never match) get a unique stand-in key, so they
+spread over all tasks instead of landing in one; hot non-NULL keys are split
+by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -18,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
 _SALT = "__lookup_salt"
 
 
@@ -33,130 +28,32 @@ def _placeholder(type_name: str):
     return 0
 
 
-def planned_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (an upper bound without CBO)."""
-    try:
-        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(v) if isinstance(v, int) else int(v.toString())
-    except Exception:  # pragma: no cover - non-classic sessions
-        return None
-
-
-def leaf_bytes(df: DataFrame) -> int | None:
-    """Largest input relation of ``df``'s plan (after column pruning)."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        sizes = []
-        for i in range(leaves.size()):
-            v = leaves.apply(i).stats().sizeInBytes()
-            sizes.append(int(v) if isinstance(v, int) else int(v.toString()))
-        return max(sizes) if sizes else 0
-    except Exception:  # pragma: no cover
-        return None
-
-
-# Count a dimension only when its largest input is at most this many times
-# the broadcast limit: counting must stay cheap next to the join it decides.
-MEASURE_FACTOR = 8
-# Safety margin over Spark's default per-type widths (strings count as 20 B).
-WIDTH_MARGIN = 2
-
-
-def _size(v) -> int:
-    return int(v) if isinstance(v, int) else int(v.toString())
-
-
-def _lookup_walk(node) -> int:
-    """Size estimate where a left outer join adds columns, not rows (each
-    lookup matches at most one dimension row), instead of Catalyst's
-    product of both sides."""
-    kind = node.getClass().getSimpleName()
-    width = int(node.schema().defaultSize()) + 8
-    if kind == "Join" and node.joinType().toString() == "LeftOuter":
-        left = node.left()
-        return _lookup_walk(left) * width // (int(left.schema().defaultSize()) + 8)
-    if kind in ("Project", "Filter") and node.children().size() == 1:
-        child = node.children().apply(0)
-        return _lookup_walk(child) * width // (int(child.schema().defaultSize()) + 8)
-    return _size(node.stats().sizeInBytes())
-
-
-def lookup_bytes(df: DataFrame) -> int | None:
-    try:
-        return _lookup_walk(df._jdf.queryExecution().optimizedPlan())
-    except Exception:  # pragma: no cover
-        return None
-
-
-def dimension_bytes(dim: DataFrame, limit: int, measure: bool = True) -> int | None:
-    est = planned_bytes(dim)
-    if est is not None and est <= limit:
-        return est
-    est2 = lookup_bytes(dim)
-    if est2 is not None and est2 <= limit:
-        return est2
-    if not measure:
-        return est
-    leaves = leaf_bytes(dim)
-    if leaves is None or leaves > MEASURE_FACTOR * limit:
-        return est
-    width = int(dim._jdf.schema().defaultSize()) * WIDTH_MARGIN
-    return dim.count() * width
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-    try:
-        v = int(str(conf).lower().replace("b", "")) if conf is not None else DEFAULT_BROADCAST_LIMIT
-    except ValueError:
-        v = DEFAULT_BROADCAST_LIMIT
-    return v if v > 0 else 0
-
-
-def fits_broadcast(df: DataFrame, limit: int | None = None, measure: bool = True) -> bool:
-    """Whether ``df`` is proven small enough to broadcast."""
-    limit = broadcast_limit(df) if limit is None else limit
-    if limit <= 0:
-        return False
-    size = dimension_bytes(df, limit, measure)
-    return size is not None and size <= limit
-
-
 def lookup_join(fact: DataFrame, dim: DataFrame, fact_keys: Sequence[str] | str,
-                dim_keys: Sequence[str] | str, how: str = "left",
-                max_broadcast_bytes: int | None = None,
-                drop_dim_keys: bool = True, measure: bool = True) -> DataFrame:
-    """``measure=False`` for a dimension derived from the fact itself
-    (counting it would run the fact's plan twice): only the estimate and
-    AQE's run-time check decide."""
+                dim_keys: Sequence[str] | str, drop_dim_keys: bool = True) -> DataFrame:
+    """``fact`` with the columns of the dimension row that has its key, or NULLs."""
     fact_keys = [fact_keys] if isinstance(fact_keys, str) else list(fact_keys)
     dim_keys = [dim_keys] if isinstance(dim_keys, str) else list(dim_keys)
-    if fits_broadcast(dim, max_broadcast_bytes, measure):
-        cond = [fact[f] == dim[d] for f, d in zip(fact_keys, dim_keys)]
-        out = fact.join(F.broadcast(dim), cond, how)
-    elif how == "left":
-        # NULL keys never match. A second join key spreads them: 0 for every
-        # dimension row and every fact row with a full key, a row hash (never
-        # 0) for a fact row with a NULL key part, whose key parts are set to a
-        # placeholder of their own type. Keys keep their types.
-        any_null = None
-        for k in fact_keys:
-            c = F.col(k).isNull()
-            any_null = c if any_null is None else any_null | c
-        h = F.xxhash64(*[F.col(c) for c in fact.columns])
-        salt = F.when(any_null, F.when(h == 0, F.lit(1)).otherwise(h)).otherwise(F.lit(0)).cast("bigint")
-        placeholders = {k: F.coalesce(F.col(k), F.lit(_placeholder(t)).cast(t))
-                        for k, t in fact.dtypes if k in fact_keys}
-        f2 = fact.withColumns({_SALT: salt, **{f"__lk{i}": placeholders[k] for i, k in enumerate(fact_keys)}})
-        d2 = dim.withColumn(_SALT, F.lit(0).cast("bigint"))
-        cond = [f2[f"__lk{i}"] == d2[d] for i, d in enumerate(dim_keys)] + [f2[_SALT] == d2[_SALT]]
-        out = (f2.join(d2, cond, "left")
-               .drop(f2[_SALT]).drop(d2[_SALT]).drop(*[f"__lk{i}" for i in range(len(fact_keys))]))
-    else:
-        cond = [fact[f] == dim[d] for f, d in zip(fact_keys, dim_keys)]
-        out = fact.join(dim, cond, how)
+    # A second join key spreads the NULL keys: 0 for every dimension row and
+    # every fact row with a full key, a row hash (never 0) for a fact row with
+    # a NULL key part, whose key parts are set to a placeholder of their type.
+    any_null = None
+    for k in fact_keys:
+        c = F.col(k).isNull()
+        any_null = c if any_null is None else any_null | c
+    h = F.xxhash64(*[F.col(c) for c in fact.columns])
+    salt = F.when(any_null, F.when(h == 0, F.lit(1)).otherwise(h)).otherwise(F.lit(0)).cast("bigint")
+    placeholders = {k: F.coalesce(F.col(k), F.lit(_placeholder(t)).cast(t))
+                    for k, t in fact.dtypes if k in fact_keys}
+    f2 = fact.withColumns({_SALT: salt, **{f"__lk{i}": placeholders[k] for i, k in enumerate(fact_keys)}})
+    d2 = dim.withColumn(_SALT, F.lit(0).cast("bigint"))
+    cond = [f2[f"__lk{i}"] == d2[d] for i, d in enumerate(dim_keys)] + [f2[_SALT] == d2[_SALT]]
+    out = (f2.join(d2, cond, "left")
+           .drop(f2[_SALT]).drop(d2[_SALT]).drop(*[f"__lk{i}" for i in range(len(fact_keys))]))
     if drop_dim_keys:
-        for d in dim_keys:
-            if d not in fact_keys:
-                out = out.drop(d)
+        out = out.drop(*[d for d in dim_keys if d not in fact_keys])
     return out
+
+
+def prefixed(dim: DataFrame, key: str, alias: str, *columns: str, **renamed: str) -> DataFrame:
+    """A dimension cut down to its key, under another name, and the columns a lookup adds."""
+    return dim.select(F.col(key).alias(alias), *columns, *[F.col(c).alias(n) for n, c in renamed.items()])

@@ -24,8 +24,10 @@ TRADE_OUT = [
 ]
 TICK_OUT = [
     "tick_id", "ticker", "bid", "ask", "last_price", "spread", "tick_volume",
-    "cumulative_volume", "exchange", "asset_class", "event_time", "mid_price", "spread_bps",
+    "cumulative_volume", "high_52w", "low_52w", "exchange", "asset_class", "timestamp", "event_time",
+    "mid_price", "spread_bps",
 ]
+RAW_TRADE_OUT = TRADE_OUT[:TRADE_OUT.index("event_time") + 1]
 
 
 class Tables:
@@ -82,7 +84,7 @@ class Tables:
 
     @cached_property
     def anomalies(self) -> DataFrame:
-        return gold.trade_anomalies(self.enriched)
+        return gold.trade_anomalies(self.enriched, stats_of=self.clean)
 
     @cached_property
     def hourly(self) -> DataFrame:
@@ -105,28 +107,13 @@ class Tables:
                                  tie_break=["priority"], track=["priority"])
 
 
-_TABLES: dict[tuple[int, str], Tables] = {}
-
-
-def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """One set of plans per (session, folder): a plan is built once and
-    re-executed by every action, as a scheduled refresh would do."""
-    key = (id(spark._jsparkSession), sf_dir)
-    if key not in _TABLES:
-        _TABLES[key] = Tables(spark, sf_dir)
-    return _TABLES[key]
-
-
-def reset_plans() -> None:
-    _TABLES.clear()
-
-
 def _q(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fn(tables(spark, sf_dir))
+    return lambda spark, sf_dir: fn(Tables(spark, sf_dir))
 
 
 def _source_counts(t: Tables) -> DataFrame:
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+             "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
     return table_counts({n: dt.table(t.spark, t.sf_dir, n) for n in names})
 
 
@@ -143,11 +130,9 @@ def _dq_warn(rules, df: DataFrame, dataset: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_counts": _q(_source_counts),
     "parse_event_time": _q(_parse_event_time),
-    "dedup_trades": _q(lambda t: t.deduped.select("trade_id", "ticker", "side", "quantity", "price",
-                                                  "trader_id", "counterparty_id", "event_time", "_dq_flag")),
-    "dq_drop_trades": _q(lambda t: t.clean.select("trade_id", "ticker", "side", "quantity", "price",
-                                                  "trader_id", "desk", "event_time")),
-    "dq_drop_ticks": _q(lambda t: t.ticks.select("tick_id", "ticker", "bid", "ask", "event_time")),
+    "dedup_trades": _q(lambda t: t.deduped.select(*RAW_TRADE_OUT)),
+    "dq_drop_trades": _q(lambda t: t.clean.select(*RAW_TRADE_OUT)),
+    "dq_drop_ticks": _q(lambda t: t.ticks.select(*TICK_OUT)),
     "dq_warn_trades": _q(lambda t: _dq_warn(TRADE_RULES, t.deduped, "enriched_trades")),
     "dq_warn_ticks": _q(lambda t: _dq_warn(TICK_RULES, t.derived_ticks, "enriched_market_data")),
     "dq_report": _q(lambda t: rule_report(t.deduped, TRADE_RULES, "enriched_trades")
@@ -159,12 +144,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "desk_pnl": _q(lambda t: t.desk_pnl),
     "risk_exposure_by_sector": _q(lambda t: t.sector_exposure),
     "counterparty_exposure": _q(lambda t: gold.counterparty_exposure(t.enriched)),
-    "ticker_stats": _q(lambda t: gold.ticker_stats(t.enriched)),
+    "ticker_stats": _q(lambda t: gold.ticker_stats(t.clean)),
     "anomaly_quantity": _q(lambda t: t.anomalies.filter("is_qty_anomaly")
                            .select("trade_id", "ticker", "quantity", "avg_qty")),
     "anomaly_price": _q(lambda t: t.anomalies.filter("is_price_anomaly")
                         .select("trade_id", "ticker", "price", "avg_price", "price_deviation_pct")),
-    "anomaly_risk_limit": _q(lambda t: t.anomalies.filter("is_risk_breach")
+    "anomaly_risk_limit": _q(lambda t: t.enriched.filter(gold.risk_breach())
                              .select("trade_id", "trader_id", "notional_usd", "risk_limit_usd")),
     "trade_anomalies": _q(lambda t: t.anomalies),
     "hourly_trade_volume": _q(lambda t: t.hourly),
@@ -182,6 +167,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         t.spark, t.enriched, t.ticks).read("desk_pnl")),
     "incremental_mark_to_market_pnl": _q(lambda t: stream_checks.incremental_tables(
         t.spark, t.enriched, t.ticks).read("mark_to_market_pnl")),
+    "stream_dedup_within": _q(lambda t: stream_checks.stream_dedup_within(t.spark, t.raw_trades)),
+    "live_mark_to_market_pnl": _q(lambda t: stream_checks.live_tables(t.spark, t.enriched, t.ticks)
+                                  .read("mark_to_market_pnl")),
+    "incremental_trade_anomalies": _q(lambda t: stream_checks.incremental_tables(
+        t.spark, t.enriched, t.ticks).read("trade_anomalies")),
     "dash_cards": _q(lambda t: dashboard.cards(t.desk_pnl, t.mtm)),
     "dash_pnl_by_desk": _q(lambda t: dashboard.pnl_by_desk(t.desk_pnl)),
     "dash_volume_by_sector": _q(lambda t: dashboard.volume_by_sector(t.sector_exposure)),

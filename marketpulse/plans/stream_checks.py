@@ -81,21 +81,15 @@ def stream_scd2_history(spark: SparkSession, sf_dir: str, buckets: int | None =
     return store.read("history")
 
 
-# Arrival waves for the incremental check: trades and ticks arrive by event
-# year (before 1995, 1995-1998, from 1999); every row is in one wave.
-WAVES = ((None, 1995), (1995, 1999), (1999, None))
+# Arrival waves for the incremental check: a row's id decides, so every row,
+# also one without an event time or an id, is in one wave.
+WAVES = 3
 
 
 def _wave(df: DataFrame, i: int) -> DataFrame:
     from pyspark.sql import functions as F
-    lo, hi = WAVES[i]
-    y = F.year("event_time")
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (y >= lo)
-    if hi is not None:
-        cond = cond & (y < hi)
-    return df.filter(cond)
+    key = "trade_id" if "trade_id" in df.columns else "tick_id"
+    return df.filter(F.pmod(F.xxhash64(key), F.lit(WAVES)) == i)
 
 
 def incremental_tables(spark: SparkSession, enriched: DataFrame, ticks: DataFrame) -> TableStore:
@@ -110,7 +104,7 @@ def incremental_tables(spark: SparkSession, enriched: DataFrame, ticks: DataFram
 
     def reader(df):
         return lambda ids: df.filter(F.lit(False)) if not ids else _union([_wave(df, i) for i in ids])
-    for n in range(1, len(WAVES) + 1):
+    for n in range(1, WAVES + 1):
         ids = list(range(n))
         refresh_incremental(store, ids, reader(enriched), ids, reader(ticks),
                             _union([_wave(enriched, i) for i in ids]), stamps=False)
@@ -122,3 +116,47 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
     for d in dfs[1:]:
         out = out.unionByName(d)
     return out
+
+
+def stream_dedup_within(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """Bounded dedup over two waves: every trade id once, first copies with old
+    and future event times included, copies of the second wave dropped."""
+    from pyspark.sql import functions as F
+    from ..operators.dedup import dedup_stream
+    from ..functions.timefmt import with_event_time
+    from ..streaming.sinks import batch_dir_writer, trigger_args
+    base = _base(spark, "stream-within")
+    landing, sink, ck = f"{base}/landing", f"{base}/sink", f"{base}/checkpoint"
+    late = F.pmod(F.xxhash64("trade_id"), F.lit(2)) == 1
+    for wave in (raw.filter(~late), raw):
+        write_json_lines(wave.select(*TRADE_RAW_COLS), landing, mode="append")
+        flow = dedup_stream(with_event_time(trades_stream(spark, landing)), ["trade_id"], within="7 days")
+        _run(flow.writeStream.foreachBatch(batch_dir_writer(sink)).option("checkpointLocation", ck)
+             .trigger(**trigger_args()).start())
+    return read_batch_dirs(spark, sink).groupBy("trade_id").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def live_tables(spark: SparkSession, enriched: DataFrame, ticks: DataFrame) -> TableStore:
+    """The deployed refresh over committed micro-batches: both kinds, then only
+    ticks, then only trades, each run compacted before the next."""
+    from pyspark.sql import functions as F
+    from ..streaming.live import LivePaths, compact_silver, refresh_gold
+    paths = LivePaths(_base(spark, "live"))
+    store = TableStore(spark, f"{paths.root}/stored")
+    store.write("trades", enriched)
+    store.write("ticks", ticks)
+    trades, ticks = store.read("trades"), store.read("ticks")
+    late_tick = F.pmod(F.xxhash64("tick_id"), F.lit(2)) == 1
+    late_trade = F.pmod(F.xxhash64("trade_id"), F.lit(2)) == 1
+    runs = ((trades.filter(~late_trade), ticks.filter(~late_tick)), (None, ticks.filter(late_tick)),
+            (trades.filter(late_trade), None))
+    for n, new in enumerate(runs):
+        for kind, df in zip(("enriched_trades", "enriched_market_data"), new):
+            if df is not None:
+                df.write.parquet(f"{paths.sink(kind)}/batch_id={n}")
+        refresh_gold(spark, paths)
+        compact_silver(spark, paths)
+    out = TableStore(spark, paths.tables)
+    table = out.read("mark_to_market_pnl").drop("calculated_at")
+    out.write("mark_to_market_pnl", table)
+    return out

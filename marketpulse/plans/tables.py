@@ -21,27 +21,49 @@ class TableInfo:
     comment: str
 
 
-# Table name → (layer, description).
-REGISTRY: dict[str, TableInfo] = {
-    "raw_trades": TableInfo("bronze", "Raw trade execution events from the landing folder"),
-    "raw_market_data": TableInfo("bronze", "Raw market data ticks from the landing folder"),
-    "raw_instruments": TableInfo("bronze", "Instrument master data"),
-    "raw_traders": TableInfo("bronze", "Trader and desk data"),
-    "raw_counterparties": TableInfo("bronze", "Counterparty data"),
-    "scd2_traders": TableInfo("silver", "Type-2 history of traders"),
-    "scd2_counterparties": TableInfo("silver", "Type-2 history of counterparties"),
-    "enriched_trades": TableInfo("silver", "Validated, deduplicated trades with reference details"),
-    "enriched_market_data": TableInfo("silver", "Validated market ticks with parsed time"),
-    "latest_market_prices": TableInfo("silver", "Most recent price per ticker"),
-    "positions": TableInfo("silver", "Net position per ticker and desk"),
-    "desk_pnl": TableInfo("gold", "Cash flow summary per desk"),
-    "risk_exposure_by_sector": TableInfo("gold", "Exposure by sector and asset class"),
-    "counterparty_exposure": TableInfo("gold", "Concentration by counterparty"),
-    "trade_anomalies": TableInfo("gold", "Quantity spikes, price deviations, risk breaches"),
-    "hourly_trade_volume": TableInfo("gold", "Hourly volume by desk and sector"),
-    "mark_to_market_pnl": TableInfo("gold", "Unrealized P&L per ticker and desk"),
+# Table names and their layers.
+_LAYERS = {
+    "raw_trades": "bronze",
+    "raw_market_data": "bronze",
+    "raw_instruments": "bronze",
+    "raw_traders": "bronze",
+    "raw_counterparties": "bronze",
+    "scd2_traders": "silver",
+    "scd2_counterparties": "silver",
+    "enriched_trades": "silver",
+    "enriched_market_data": "silver",
+    "latest_market_prices": "silver",
+    "positions": "silver",
+    "desk_pnl": "gold",
+    "risk_exposure_by_sector": "gold",
+    "counterparty_exposure": "gold",
+    "trade_anomalies": "gold",
+    "hourly_trade_volume": "gold",
+    "mark_to_market_pnl": "gold",
 }
 
+_COMMENTS = {
+    "raw_trades": "Every trade line as it landed, with its file and load time",
+    "raw_market_data": "Every tick line as it landed, with its file and load time",
+    "raw_instruments": "The latest load of tradable instruments",
+    "raw_traders": "All loads of trader rows, one after the other",
+    "raw_counterparties": "All loads of counterparty rows, one after the other",
+    "scd2_traders": "Versions of each trader with their validity",
+    "scd2_counterparties": "Versions of each counterparty with their validity",
+    "enriched_trades": "One row per accepted trade id, joined with what was current when it was processed",
+    "enriched_market_data": "Accepted ticks with mid price and spread in basis points",
+    "latest_market_prices": "The newest accepted tick of each ticker",
+    "positions": "Signed quantity and notional by ticker, desk, sector and asset class",
+    "desk_pnl": "Sales minus purchases and activity figures by desk",
+    "risk_exposure_by_sector": "Long, short, net and gross notional by sector and asset class",
+    "counterparty_exposure": "Long, short, net and gross notional by counterparty",
+    "trade_anomalies": "Trades out of line with their ticker's quantity or price, or over the trader's limit",
+    "hourly_trade_volume": "Trades, notional and mean price by hour, desk and sector",
+    "mark_to_market_pnl": "Positions valued at the latest price",
+}
+
+REGISTRY: dict[str, TableInfo] = {n: TableInfo(layer, _COMMENTS[n]) for n, layer in _LAYERS.items()}
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -104,6 +126,11 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return bool(self.versions(name))
 
+    def tables(self) -> list[str]:
+        p = self._Path(self.root)
+        fs = self._fs(self.root)
+        return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()) if fs.exists(p) else []
+
     def vacuum(self, name: str, keep: int = 2) -> None:
         """Delete all but the newest ``keep`` committed versions."""
         vs = self.versions(name)
@@ -115,19 +142,45 @@ class TableStore:
 def publish(spark: SparkSession, store: TableStore, names: list[str] | None = None) -> list[str]:
     """SNK-3: expose the live version of each table in the session catalog as
     ``<layer>.<name>`` (schemas bronze / silver / gold), with its comment and
-    a ``quality`` table property. Re-publishing points the table at the
-    newest committed version."""
+    a ``quality`` table property. A table that is already there is moved to the
+    newest committed version by one catalog change, so readers always find it."""
     done = []
     for name in names or list(REGISTRY):
-        info = REGISTRY[name]
-        path = store.current_path(name)
+        info, path = REGISTRY[name], store.current_path(name)
         if path is None:
             continue
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {info.layer}")
-        spark.sql(f"DROP TABLE IF EXISTS {info.layer}.{name}")
-        comment = info.comment.replace("'", "''")
-        spark.sql(f"CREATE TABLE {info.layer}.{name} USING parquet LOCATION '{path}' "
-                  f"COMMENT '{comment}' TBLPROPERTIES ('quality' = '{info.layer}')")
+        full = f"{info.layer}.{name}"
+        same = spark.catalog.tableExists(full) and spark.table(full).schema == spark.read.parquet(path).schema
+        if same:
+            spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(full)
+        else:   # new, or its columns changed
+            spark.sql(f"DROP TABLE IF EXISTS {full}")
+            spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}' "
+                      f"COMMENT '{_quoted(info.comment)}' TBLPROPERTIES ('quality' = '{info.layer}')")
+        done.append(full)
+    return done
+
+
+def _quoted(text: str) -> str:
+    return text.replace("'", "\\'")
+
+
+def publish_folders(spark: SparkSession, folders: dict[str, list[str]]) -> list[str]:
+    """SNK-3 for stream tables: a view over the committed folders of each table.
+    Replacing a view is one catalog change."""
+    done = []
+    for name, paths in folders.items():
+        if not paths:
+            continue
+        info = REGISTRY[name]
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {info.layer}")
+        columns = [c for c in spark.read.parquet(paths[0]).columns if c != "batch_id"]
+        picked = ", ".join(f"`{c}`" for c in columns)
+        body = " UNION ALL ".join(f"SELECT {picked} FROM parquet.`{p}`" for p in paths)
+        spark.sql(f"CREATE OR REPLACE VIEW {info.layer}.{name} COMMENT '{_quoted(info.comment)}' "
+                  f"TBLPROPERTIES ('quality' = '{info.layer}') AS {body}")
         done.append(f"{info.layer}.{name}")
     return done
 

@@ -51,12 +51,8 @@ def test_refresh_all_matches_queries(spark, tmp_dir):
 def test_shuffle_join_path_matches_oracle(spark, con, name):
     """The at-scale plan: no dimension is broadcast (every lookup is a shuffle
     join with NULL-key salting); results must not change."""
-    from marketpulse.plans.queries import reset_plans
-    from marketpulse.sources import driver_tables
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    reset_plans()
-    driver_tables.clear_views()
     try:
         df = entry_mod.queries()[name](spark, SF_SMALL)
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -65,4 +61,3 @@ def test_shuffle_join_path_matches_oracle(spark, con, name):
         assert r["spark_rows"] == r["oracle_rows"] and r["hash_match"], r
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        reset_plans()

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from marketpulse.plans.joins import fits_broadcast, lookup_join, planned_bytes
+from marketpulse.plans.joins import lookup_join
 from marketpulse.schemas import TRADE_RAW
 from marketpulse.sources.counts import table_counts
 from marketpulse.sources.files import read_trades
@@ -19,18 +19,12 @@ def test_lookup_join_paths_agree(spark):
     fact = spark.createDataFrame([("a",), ("b",), (None,), ("z",), (None,)], "k string")
     dim = spark.createDataFrame([("a", "A"), ("b", "B")], "dk string, name string")
     small = lookup_join(fact, dim, "k", "dk")
-    shuffled = lookup_join(fact, dim, "k", "dk", max_broadcast_bytes=0)
+    shuffled = lookup_join(fact, dim.hint("merge"), "k", "dk")
     assert _pairs(small) == _pairs(shuffled) == sorted(
         [("a", "A"), ("b", "B"), (None, None), ("z", None), (None, None)], key=str)
     assert "dk" not in small.columns and not [c for c in shuffled.columns if c.startswith("__")]
 
 
-def test_broadcast_is_size_checked(spark):
-    dim = spark.range(10).withColumnRenamed("id", "dk")
-    assert planned_bytes(dim) > 0
-    assert fits_broadcast(dim, 10 ** 9) and not fits_broadcast(dim, 1)
-
-
 def test_json_permissive_lines(spark, tmp_dir):
     p = f"{tmp_dir}/t.json"
     with open(p, "w") as f:
@@ -81,7 +75,7 @@ def test_lookup_join_shuffle_path_numeric_and_multi_key(spark):
     fact = spark.createDataFrame([(1, 10, "a"), (None, 10, "b"), (2, None, "c"), (2, 20, "d")],
                                  "k1 bigint, k2 int, tag string")
     dim = spark.createDataFrame([(1, 10, "X"), (2, 20, "Y"), (0, 0, "Z")], "d1 bigint, d2 int, name string")
-    got = lookup_join(fact, dim, ["k1", "k2"], ["d1", "d2"], max_broadcast_bytes=0)
+    got = lookup_join(fact, dim, ["k1", "k2"], ["d1", "d2"])
     assert sorted((r.tag, r.name) for r in got.collect()) == [("a", "X"), ("b", None), ("c", None), ("d", "Y")]
     assert got.columns == ["k1", "k2", "tag", "name"]
 
