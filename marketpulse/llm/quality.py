@@ -37,7 +37,7 @@ MAX_REPEAT_PERCENT = 20
 REPEAT_WINDOW = 5
 # Fixed values of the base rules: symbols counted, and the two kinds of run that n-grams are made of.
 SYMBOLS = r"[#*$%&|<>]"
-TOKENS = r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]+"
+TOKENS = r"[0-9A-Za-z_\x{80}-\x{10FFFF}]++|[!-/:-@\[-^`{-~]++"
 
 
 def base_counts(src: DataFrame) -> DataFrame:
@@ -124,10 +124,15 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 
 def _judge(src: DataFrame, weights: list[float], threshold: float) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return (base_counts(src).select("*", _tokens(F.col("text")).alias("_t"))
+    # A filter on the verdict must not move below the token array: put in place
+    # of its name there, the pattern would run again for every token. Filters
+    # do not pass a projection whose value they need and that is not fixed.
+    fence = F.spark_partition_id().alias("_fence")
+    verdict = ~F.col("base_failed") & (F.col("score") >= threshold)
+    return (base_counts(src).select("*", _tokens(F.col("text")).alias("_t"), fence)
             .select("*", llr_score(F.col("_t"), weights).alias("score")).drop("_t")
             .select("*", failed.alias("base_failed"))
-            .select("*", (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept")))
+            .select("*", F.when(F.col("_fence") >= 0, verdict).alias("kept")).drop("_fence"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
