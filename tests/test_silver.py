@@ -93,12 +93,12 @@ def test_amounts_no_decimal_holds_keep_their_row(spark):
     rows = [trade("T-1", price=1e15, quantity=10), trade("T-2", price=1e300), trade("T-3", price=float("nan")),
             trade("T-4", price=2.5, quantity=2)]
     raw = trades_df(spark, rows)
-    out = enrich_trades(clean_trades(raw), *dims(spark))
+    out = enrich_trades(silver.clean_trades(raw), *dims(spark))
     got = {r.trade_id: r.notional_usd for r in out.collect()}
     assert got["T-1"] == 1e16 and got["T-2"] == 1e302 and math.isnan(got["T-3"]) and got["T-4"] == 5.0
     r = out.agg(money_sum("notional_usd").alias("s"), exact_avg("price", "decimal(28,6)").alias("a")).first()
     assert r.s == 1e16 + 5 and r.a == (1e15 + 2.5) / 2   # what no decimal holds is left out of both parts of a mean
-    pos = {p.ticker: p for p in positions(out).collect()}
+    pos = {p.ticker: p for p in silver.positions(out).collect()}
     assert pos["AAA"].trade_count == 4
     mid = derive_ticks(ticks_df(spark, [tick("M1", bid=1e300, ask=1e300)])).first().mid_price
     assert mid == 1e300

@@ -70,14 +70,20 @@ def test_bounded_dedup_survives_future_dated_rows(spark, tmp_dir):
 
 
 def test_compaction_keeps_every_row_once(spark, tmp_dir):
-    from marketpulse.streaming.sinks import committed_batch_dirs, compact_batches
+    import os
+    from marketpulse.streaming.sinks import committed_batch_dirs, compact_batches, segments
     sink = f"{tmp_dir}/sink"
     for i in range(5):
         spark.range(i * 10, i * 10 + 10).write.parquet(f"{sink}/batch_id={i}")
     assert compact_batches(spark, sink, 2)
     assert read_batch_dirs(spark, sink).count() == 50
     assert [d.rsplit("=", 1)[1] for d in committed_batch_dirs(spark, sink)] == ["3", "4"]
+    first = segments(spark, sink)
+    before = {f: os.path.getmtime(f"{first[0][1]}/{f}") for f in os.listdir(first[0][1])}
     assert compact_batches(spark, sink, 4)
+    # The second compaction writes only its own batches: the first segment is as it was.
+    assert before == {f: os.path.getmtime(f"{first[0][1]}/{f}") for f in os.listdir(first[0][1])}
+    assert spark.read.parquet(segments(spark, sink)[1][1]).count() == 20
     df = read_batch_dirs(spark, sink)
     assert df.count() == 50 and df.distinct().count() == 50
     assert committed_batch_dirs(spark, sink) == []
