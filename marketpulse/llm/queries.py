@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketpulse.llm.chat import format_chats
 from marketpulse.llm.common import sha256_hex, table
 from marketpulse.llm.decontaminate import contamination
+from marketpulse.llm.oracle import BYTES, CHATS, CONTAMINATION, SUBSTRINGS
 from marketpulse.llm.pieces import default_model, encode_column, read_pieces
 from marketpulse.llm.pii import personal_data
 from marketpulse.llm.quality import quality
@@ -74,4 +75,9 @@ QUERIES = {
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_substring_dedup": SUBSTRINGS,
+    "op6_suffix_array_dedup": BYTES,
+    "op7_decontamination": CONTAMINATION,
+    "op8_chat_formatting": CHATS,
+}
