@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,6 +70,7 @@ class Scratch:
         time, so it is asked to after a phase whose result is on disk."""
         for n in names:
             self.drop(n)
-        import gc
-        gc.collect()
-        self.spark._jvm.System.gc()
+        for _ in range(2):   # the first frees the plans, the second what only they referred to
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)

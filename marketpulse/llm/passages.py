@@ -6,8 +6,10 @@ among the shorter grams inside it, so equal windows have equal anchors.
 Consecutive windows with one anchor at one place form a piece. Every window lies in exactly one piece
 and a piece, cut out with the units its windows need, holds no other windows.
 
-``repeated_pieces`` keeps the pieces whose anchor is found more than once,
-cuts them out of their texts, and counts the different cuts. Anchors only
+``repeated_pieces`` keeps the pieces whose anchor is found more than once and
+counts the different cuts by their hashes; ``compared_cuts`` takes the units of
+one place per cut, where an anchor has several. Whole texts move through a
+shuffle three times, one after the other, and nothing larger ever does. Anchors only
 route: a collision costs work, never a wrong result, because operators compare
 the cuts themselves.
 """
@@ -93,11 +95,14 @@ def pieces(codes: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.nd
 
 
 def sources(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(did, tk, data): the id, last for a NULL id; a hash that tells apart texts
-    of one id; the text's bytes."""
-    return id_text(docs, id_col, text_col).select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("did"), F.xxhash64("text").alias("tk"),
-        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
+    """(doc_id, did, tk, data): the id; the id as a key, last for a NULL id; a hash
+    that tells apart texts of one id, or zero where no id repeats; the text's bytes."""
+    own = id_text(docs, id_col, text_col).select(
+        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("did"), "text")
+    again = own.groupBy("did").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count()
+    tk = F.xxhash64("text").alias("tk") if again else F.lit(0).cast("long").alias("tk", metadata={"single": True})
+    return own.select("doc_id", "did", tk,
+                      F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
 
 
 def _find(units: Units):
@@ -119,12 +124,13 @@ def _find(units: Units):
     return run
 
 
-def _cut(units: Units):
+def _hash_cuts(units: Units):
+    """(did, tk, data, found) to the 128-bit hash of each found piece."""
     def run(batches):
         for whole in batches:
             for k in range(0, whole.num_rows, 128):   # a slice at a time bounds what is held
                 b = whole.slice(k, 128)
-                did, tk, anchor, at, cuts = [], [], [], [], []
+                did, tk, anchor, at, key = [], [], [], [], []
                 for d, t, data, found in zip(*(b.column(j).to_pylist() for j in range(4))):
                     seq = units.split(data)
                     for x in found:
@@ -133,44 +139,82 @@ def _cut(units: Units):
                         tk.append(t)
                         anchor.append(x["anchor"])
                         at.append(x["at"])
-                        cuts.append(units.pack(seq[lo:lo + n + units.window - 1]))
-                key = [xxhash.xxh3_128_digest(c) for c in cuts]
+                        key.append(xxhash.xxh3_128_digest(units.pack(seq[lo:lo + n + units.window - 1])))
                 both = np.frombuffer(b"".join(key), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(did, pa.int64()), pa.array(tk, pa.int64()), pa.array(anchor, pa.int64()),
-                     pa.array(at, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(cuts, pa.binary())],
-                    ["did", "tk", "anchor", "at", "h1", "h2", "cut"])
+                    [pa.array(x, pa.int64()) for x in (did, tk, anchor, at)] + [pa.array(both[:, 0]), pa.array(both[:, 1])],
+                    ["did", "tk", "anchor", "at", "h1", "h2"])
     return run
 
 
-def repeated_pieces(docs: DataFrame, units: Units, scratch: Scratch, id_col: str = "doc_id",
-                    text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The pieces whose anchor occurs more than once.
+def _take_cuts(units: Units):
+    """(data, found) to the found pieces themselves."""
+    names = ["anchor", "h1", "h2", "first", "n", "load"]
 
-    places: (did, tk, at, h1, h2), one row per piece, ``at`` = first window
-    << 16 | number of windows. cuts: (anchor, h1, h2, cut, first, n), one row
-    per different cut, with its smallest id and number of places.
+    def run(batches):
+        for whole in batches:
+            for k in range(0, whole.num_rows, 128):
+                b = whole.slice(k, 128)
+                rows, cuts = [], []
+                for data, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    seq = units.split(data)
+                    for x in found:
+                        lo, n = x["at"] >> 16, x["at"] & 0xFFFF
+                        rows.append(x)
+                        cuts.append(units.pack(seq[lo:lo + n + units.window - 1]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[c] for r in rows], pa.int64()) for c in names] + [pa.array(cuts, pa.binary())],
+                    [*names, "cut"])
+    return run
+
+
+def repeated_pieces(src: DataFrame, units: Units, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The pieces of ``src`` (see ``sources``) whose anchor occurs more than once.
+
+    places: (did, tk, anchor, at, h1, h2), one row per piece, ``at`` = first
+    window << 16 | number of windows, h1 and h2 the hash of its cut. cuts:
+    (anchor, h1, h2, first, tk, at, n), one row per different cut: the place
+    with the smallest id, and the number of places. Neither holds any text.
     """
-    src = sources(docs, id_col, text_col)
-    rows = scratch.save(src.mapInArrow(_find(units), "did long, tk long, anchor long, at long"), "anchors")
+    found = src.select("did", "tk", "data").mapInArrow(_find(units), "did long, tk long, anchor long, at long")
+    rows = scratch.save(found, "anchors")
     often = rows.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     keep = scratch.save(rows.join(often, "anchor"), "repeated")
+    del rows, often
     scratch.release("anchors")
     per_text = keep.groupBy("did", "tk").agg(F.collect_set(F.struct("anchor", "at")).alias("found"))
-    cut = scratch.save(
-        src.join(per_text, ["did", "tk"]).mapInArrow(
-            _cut(units), "did long, tk long, anchor long, at long, h1 long, h2 long, cut binary"), "cut")
+    # One text of an id and hash is enough to cut from; all its rows are places.
+    places = scratch.save(src.join(per_text, ["did", "tk"]).select("did", "tk", "data", "found").mapInArrow(
+        _hash_cuts(units), "did long, tk long, anchor long, at long, h1 long, h2 long"), "places")
+    del keep, per_text
     scratch.release("repeated")
-    cuts = scratch.save(cut.groupBy("anchor", "h1", "h2", "cut").agg(F.min("did").alias("first"),
-                                                                   F.count("*").alias("n")), "cuts")
-    return cut.select("did", "tk", "at", "h1", "h2"), cuts
+    cuts = scratch.save(places.groupBy("anchor", "h1", "h2").agg(F.min(F.struct("did", "tk", "at")).alias("p"),
+                                                               F.count("*").alias("n"))
+                        .select("anchor", "h1", "h2", F.col("p.did").alias("first"), "p.tk", "p.at", "n"), "cuts")
+    return places, cuts
 
 
-def split_by_load(cuts: DataFrame, max_cuts: int = MAX_CUTS) -> tuple[DataFrame, DataFrame]:
-    """Cuts of anchors that one task can compare, and those of anchors with too many."""
+def compared_cuts(src: DataFrame, cuts: DataFrame, units: Units, scratch: Scratch) -> DataFrame:
+    """(anchor, h1, h2, first, n, load, cut): the cuts, with their units, of every
+    anchor that has more than one (``load`` is how many)."""
     load = cuts.groupBy("anchor").agg(F.count("*").alias("load")).filter("load > 1")
-    sized = cuts.join(load, "anchor")
-    return sized.filter(F.col("load") <= max_cuts), sized.filter(F.col("load") > max_cuts)
+    per_text = (cuts.join(load, "anchor").groupBy(F.col("first").alias("did"), "tk")
+                .agg(F.collect_set(F.struct("anchor", "at", "h1", "h2", "first", "n", "load")).alias("found")))
+    texts = src.join(per_text, ["did", "tk"]).select("data", "found")
+    out = scratch.save(texts.mapInArrow(
+        _take_cuts(units), "anchor long, h1 long, h2 long, first long, n long, load long, cut binary"), "compared")
+    scratch.release()
+    return out.dropDuplicates(["anchor", "h1", "h2"]) if _texts_repeat(src) else out
+
+
+def _texts_repeat(src: DataFrame) -> bool:
+    """Whether rows share an id: then a cut may have been taken from each of them."""
+    return not any(f.name == "tk" and f.metadata.get("single") for f in src.schema.fields)
+
+
+def split_by_load(compared: DataFrame, max_cuts: int = MAX_CUTS) -> tuple[DataFrame, DataFrame]:
+    """Cuts of anchors that one task can compare, and those of anchors with too many."""
+    return compared.filter(F.col("load") <= max_cuts), compared.filter(F.col("load") > max_cuts)
 
 
 def in_groups(batches, key: int, columns: int):
@@ -241,9 +285,6 @@ def removed_runs(spans, window: int) -> list[list[int]]:
     return runs
 
 
-def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def with_spans(src: DataFrame, spans: DataFrame) -> DataFrame:
     """(doc_id, data, spans): every input row with its flagged windows."""
-    own = id_text(docs, id_col, text_col).select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("did"), F.xxhash64("text").alias("tk"),
-        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
-    return own.join(spans, ["did", "tk"], "left").select("doc_id", "data", "spans")
+    return src.join(spans, ["did", "tk"], "left").select("doc_id", "data", "spans")

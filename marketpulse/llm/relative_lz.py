@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.llm.common import Scratch
-from marketpulse.llm.passages import (RANGES, Units, in_groups, removed_runs, repeated_pieces, split_by_load, verdicts,
-                                      window_verdicts, with_spans)
+from marketpulse.llm.passages import (RANGES, Units, compared_cuts, in_groups, removed_runs, repeated_pieces, sources,
+                                      split_by_load, verdicts, window_verdicts, with_spans)
 
 WINDOW = 13
-GRAM = 7
+GRAM = 5
 #: Word hashes that a task remembers.
 _MEMORY = 500_000
 
@@ -101,15 +101,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     units = word_units(window, gram)
     scratch = Scratch(docs.sparkSession, "relative-lz")
-    places, cuts = repeated_pieces(docs, units, scratch, id_col, text_col)
-    few, many = split_by_load(cuts)
+    src = sources(docs, id_col, text_col)
+    places, cuts = repeated_pieces(src, units, scratch)
+    few, many = split_by_load(compared_cuts(src, cuts, units, scratch))
     factors = (few.select("anchor", "first", "h1", "h2", "cut").repartition("anchor")
                .sortWithinPartitions("anchor", "first", "h1", "h2")
                .mapInArrow(_blocks(window), f"h1 long, h2 long, ranges {RANGES}"))
     alone = window_verdicts(many, units, (F.min("first"), F.col("m") < F.col("first")))
     spans = scratch.save(verdicts(places, cuts, factors.unionByName(alone), F.col("did") > F.col("first")), "spans")
-    scratch.release("cut", "cuts")
-    src = with_spans(docs, spans, id_col, text_col)
+    scratch.release("places", "cuts", "compared")
+    src = with_spans(src, spans)
 
     def cut_out(batches):
         run_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

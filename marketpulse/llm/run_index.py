@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.llm.common import Scratch
-from marketpulse.llm.passages import (RANGES, Units, in_groups, removed_runs, repeated_pieces, split_by_load, verdicts,
-                                      window_verdicts, with_spans)
+from marketpulse.llm.passages import (RANGES, Units, compared_cuts, in_groups, removed_runs, repeated_pieces, sources,
+                                      split_by_load, verdicts, window_verdicts, with_spans)
 
 WINDOW = 200
 GRAM = 64
@@ -151,14 +151,15 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     units = byte_units(window, gram)
     scratch = Scratch(docs.sparkSession, "run-index")
-    places, cuts = repeated_pieces(docs, units, scratch, id_col, text_col)
-    few, many = split_by_load(cuts)
+    src = sources(docs, id_col, text_col)
+    places, cuts = repeated_pieces(src, units, scratch)
+    few, many = split_by_load(compared_cuts(src, cuts, units, scratch))
     found = (few.select("anchor", "h1", "h2", "n", "cut").repartition("anchor").sortWithinPartitions("anchor", "h1", "h2")
              .mapInArrow(_blocks(window, block_bytes), f"h1 long, h2 long, ranges {RANGES}"))
     alone = window_verdicts(many, units, (F.sum("n"), F.col("m") > 1))
     spans = scratch.save(verdicts(places, cuts, found.unionByName(alone), F.col("n") > 1), "spans")
-    scratch.release("cut", "cuts")
-    src = with_spans(docs, spans, id_col, text_col)
+    scratch.release("places", "cuts", "compared")
+    src = with_spans(src, spans)
 
     def cut_out(batches):
         run_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
