@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from marketpulse.llm.common import Scratch, id_text
 
 #: Different cuts of one anchor that one task compares; an anchor with more is
-#: compared window by window through a shuffle on the windows.
+#: compared part by part through shuffles (``window_verdicts``).
 MAX_CUTS = 1024
+#: Windows in one part of such a cut.
+PART_WINDOWS = 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LAST_ID = 2 ** 63 - 1
 
@@ -248,29 +250,82 @@ def verdicts(places: DataFrame, cuts: DataFrame, flagged: DataFrame, whole) -> D
 RANGES = "array<struct<start:long,end:long>>"
 
 
-def window_verdicts(cuts: DataFrame, units: Units, measure) -> DataFrame:
-    """(h1, h2, ranges) for cuts of anchors with too many cuts to compare in one
-    task: their windows are grouped by their 128-bit hash in a shuffle.
+def _parts(units: Units):
+    """Cuts to parts of at most PART_WINDOWS windows, by the windows' distance to the
+    anchor: equal windows fall into parts that share their core, the units common to
+    all windows at those distances. s1, s2 hash the part, w1, w2 its core."""
+    width = units.window - units.gram + 1
+    names = ["h1", "h2", "first", "n", "at", "size", "s1", "s2", "w1", "w2", "part"]
 
-    ``measure`` is (aggregate over the cuts of one window, condition on it and the cut)."""
     def run(batches):
         for b in batches:
+            rows, keys, parts = [], [], []
             for h1, h2, first, n, data in zip(*(b.column(j).to_pylist() for j in range(5))):
                 seq = units.split(data)
                 count = len(seq) - units.window + 1
-                keys = b"".join(xxhash.xxh3_128_digest(units.pack(seq[i:i + units.window])) for i in range(count))
-                both = np.frombuffer(keys, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x] * count, pa.int64()) for x in (h1, h2, first, n)]
-                    + [pa.array(np.arange(count)), pa.array(both[:, 0]), pa.array(both[:, 1])],
-                    ["h1", "h2", "first", "n", "i", "w1", "w2"])
+                with np.errstate(over="ignore"):
+                    anchor = int(gram_hashes(units.codes(seq), units.gram)[:width].argmin())
+                for k in range((anchor - count + 1) // PART_WINDOWS, anchor // PART_WINDOWS + 1):
+                    near = anchor - k * PART_WINDOWS   # start of the window nearest to the anchor
+                    far = near - PART_WINDOWS + 1
+                    lo, hi = max(0, far), min(count, near + 1)
+                    part = units.pack(seq[lo:hi + units.window - 1])
+                    rows.append((h1, h2, first, n, lo, hi - lo))
+                    keys += [xxhash.xxh3_128_digest(part),
+                             xxhash.xxh3_128_digest(units.pack(seq[near:far + units.window]))]
+                    parts.append(part)
+            hashes = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[j] for r in rows], pa.int64()) for j in range(6)]
+                + [pa.array(hashes[:, j]) for j in range(4)] + [pa.array(parts, pa.binary())], names)
+    return run
+
 
-    rows = cuts.select("h1", "h2", "first", "n", "cut").mapInArrow(
-        run, "h1 long, h2 long, first long, n long, i long, w1 long, w2 long")
+def _windows_of(units: Units):
+    """(s1, s2, first, n, part) to one row per window, with the window's hash."""
+    def run(batches):
+        for b in batches:
+            rows, keys = [], []
+            for s1, s2, first, n, data in zip(*(b.column(j).to_pylist() for j in range(5))):
+                seq = units.split(data)
+                for i in range(len(seq) - units.window + 1):
+                    rows.append((s1, s2, first, n, i))
+                    keys.append(xxhash.xxh3_128_digest(units.pack(seq[i:i + units.window])))
+            both = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[j] for r in rows], pa.int64()) for j in range(5)] + [pa.array(both[:, 0]), pa.array(both[:, 1])],
+                ["s1", "s2", "first", "n", "i", "v1", "v2"])
+    return run
+
+
+def window_verdicts(cuts: DataFrame, units: Units, measure, scratch: Scratch) -> DataFrame:
+    """(h1, h2, ranges) for cuts of anchors with too many cuts to compare in one task.
+
+    ``measure`` is (aggregate of first and n over the cuts of one window, condition
+    on it and a cut's first). Cuts go into parts; equal parts are measured once, a
+    part whose core no other part has is its windows' only measure, and the windows
+    of the remaining parts alone are grouped by their 128-bit hash in a shuffle.
+    """
     agg, condition = measure
-    seen = rows.groupBy("w1", "w2").agg(agg.alias("m"))
-    return (rows.join(seen, ["w1", "w2"]).filter(condition).groupBy("h1", "h2")
-            .agg(F.transform(F.collect_list("i"), lambda i: F.struct(i.alias("start"), (i + 1).alias("end"))).alias("ranges")))
+    parts = scratch.save(cuts.select("h1", "h2", "first", "n", "cut").mapInArrow(
+        _parts(units), "h1 long, h2 long, first long, n long, at long, size long, s1 long, s2 long, w1 long, w2 long, "
+                       "part binary"), "parts")
+    distinct = parts.groupBy("s1", "s2", "w1", "w2").agg(
+        agg.alias("own"), F.min("first").alias("first"), F.sum("n").alias("n"), F.any_value("part").alias("part"))
+    met = distinct.groupBy("w1", "w2").agg(F.count("*").alias("load")).filter("load > 1").select("w1", "w2")
+    rows = (distinct.join(met, ["w1", "w2"]).select("s1", "s2", "first", "n", "part")
+            .mapInArrow(_windows_of(units), "s1 long, s2 long, first long, n long, i long, v1 long, v2 long"))
+    seen = rows.groupBy("v1", "v2").agg(agg.alias("m"))
+    one = F.lit(1).cast("long").alias("size")
+    by_window = (rows.join(seen, ["v1", "v2"]).groupBy("s1", "s2")
+                 .agg(F.collect_list(F.struct("i", one, "m")).alias("of")))
+    judged = distinct.select("s1", "s2", "own").join(by_window, ["s1", "s2"], "left")
+    alone = F.array(F.struct(F.lit(0).cast("long").alias("i"), "size", F.col("own").alias("m")))
+    ranges = F.transform(F.filter(F.coalesce("of", alone), lambda x: condition(x["m"], F.col("first"))), lambda x: F.struct(
+        (F.col("at") + x["i"]).alias("start"), (F.col("at") + x["i"] + x["size"]).alias("end")))
+    return (parts.select("h1", "h2", "first", "at", "size", "s1", "s2").join(judged, ["s1", "s2"])
+            .select("h1", "h2", ranges.alias("r")).filter(F.size("r") > 0)
+            .groupBy("h1", "h2").agg(F.flatten(F.collect_list("r")).alias("ranges")))
 
 
 def removed_runs(spans, window: int) -> list[list[int]]:

@@ -8,7 +8,7 @@ smallest document that holds them. Each cut is factored greedily against the
 cuts before it: the longest match at the current word becomes a factor, and
 where a factor ends, the windows that straddle its end are looked up one by one
 before the next factor starts. Factors of at least a window become duplicate
-spans. A block with too many cuts is compared window by window in a shuffle.
+spans. A block with too many cuts is compared by shuffles of its parts.
 
 Edge cases: NULL or blank text has no words and nothing to remove; a NULL
 doc_id counts as larger than any other; rows of one doc_id are one document as
@@ -107,9 +107,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     factors = (few.select("anchor", "first", "h1", "h2", "cut").repartition("anchor")
                .sortWithinPartitions("anchor", "first", "h1", "h2")
                .mapInArrow(_blocks(window), f"h1 long, h2 long, ranges {RANGES}"))
-    alone = window_verdicts(many, units, (F.min("first"), F.col("m") < F.col("first")))
+    alone = window_verdicts(many, units, (F.min("first"), lambda m, first: m < first), scratch)
     spans = scratch.save(verdicts(places, cuts, factors.unionByName(alone), F.col("did") > F.col("first")), "spans")
-    scratch.release("places", "cuts", "compared")
+    scratch.release("places", "cuts", "compared", "parts")
     src = with_spans(src, spans)
 
     def cut_out(batches):

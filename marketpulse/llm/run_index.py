@@ -8,7 +8,7 @@ letter matches one symbol less than the suffix before it in the text. So match
 lengths are computed and sampled at the run ends alone, and one stream over the
 text fills in the matching statistics between the samples. Where the longer of
 the two neighbours' matches reaches the window, the window occurs elsewhere.
-An anchor with too many cuts is compared window by window in a shuffle.
+An anchor with too many cuts is compared by shuffles of their parts.
 
 Edge cases: NULL is an empty text; texts shorter than a window keep all bytes;
 repeated rows are repeats of each other, whatever their ids; removing bytes may
@@ -156,9 +156,9 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     few, many = split_by_load(compared_cuts(src, cuts, units, scratch))
     found = (few.select("anchor", "h1", "h2", "n", "cut").repartition("anchor").sortWithinPartitions("anchor", "h1", "h2")
              .mapInArrow(_blocks(window, block_bytes), f"h1 long, h2 long, ranges {RANGES}"))
-    alone = window_verdicts(many, units, (F.sum("n"), F.col("m") > 1))
+    alone = window_verdicts(many, units, (F.sum("n"), lambda m, first: m > 1), scratch)
     spans = scratch.save(verdicts(places, cuts, found.unionByName(alone), F.col("n") > 1), "spans")
-    scratch.release("places", "cuts", "compared")
+    scratch.release("places", "cuts", "compared", "parts")
     src = with_spans(src, spans)
 
     def cut_out(batches):
