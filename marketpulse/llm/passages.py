@@ -313,8 +313,8 @@ def window_verdicts(cuts: DataFrame, units: Units, measure, scratch: Scratch) ->
     distinct = parts.groupBy("s1", "s2", "w1", "w2").agg(
         agg.alias("own"), F.min("first").alias("first"), F.sum("n").alias("n"), F.any_value("part").alias("part"))
     met = distinct.groupBy("w1", "w2").agg(F.count("*").alias("load")).filter("load > 1").select("w1", "w2")
-    rows = (distinct.join(met, ["w1", "w2"]).select("s1", "s2", "first", "n", "part")
-            .mapInArrow(_windows_of(units), "s1 long, s2 long, first long, n long, i long, v1 long, v2 long"))
+    rows = scratch.save(distinct.join(met, ["w1", "w2"]).select("s1", "s2", "first", "n", "part").mapInArrow(
+        _windows_of(units), "s1 long, s2 long, first long, n long, i long, v1 long, v2 long"), "windows")
     seen = rows.groupBy("v1", "v2").agg(agg.alias("m"))
     one = F.lit(1).cast("long").alias("size")
     by_window = (rows.join(seen, ["v1", "v2"]).groupBy("s1", "s2")

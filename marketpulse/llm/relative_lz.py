@@ -109,7 +109,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                .mapInArrow(_blocks(window), f"h1 long, h2 long, ranges {RANGES}"))
     alone = window_verdicts(many, units, (F.min("first"), lambda m, first: m < first), scratch)
     spans = scratch.save(verdicts(places, cuts, factors.unionByName(alone), F.col("did") > F.col("first")), "spans")
-    scratch.release("places", "cuts", "compared", "parts")
+    scratch.release("places", "cuts", "compared", "parts", "windows")
     src = with_spans(src, spans)
 
     def cut_out(batches):

@@ -158,7 +158,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
              .mapInArrow(_blocks(window, block_bytes), f"h1 long, h2 long, ranges {RANGES}"))
     alone = window_verdicts(many, units, (F.sum("n"), lambda m, first: m > 1), scratch)
     spans = scratch.save(verdicts(places, cuts, found.unionByName(alone), F.col("n") > 1), "spans")
-    scratch.release("places", "cuts", "compared", "parts")
+    scratch.release("places", "cuts", "compared", "parts", "windows")
     src = with_spans(src, spans)
 
     def cut_out(batches):
