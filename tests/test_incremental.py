@@ -5,7 +5,7 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from marketpulse.plans.incremental import refresh_incremental
-from marketpulse.plans.queries import tables
+from marketpulse.plans.queries import Tables
 from marketpulse.plans.tables import TableStore
 
 
@@ -14,7 +14,7 @@ def _rows(df):
 
 
 def test_incremental_equals_full_recompute(spark, tmp_dir):
-    t = tables(spark, SF_SMALL)
+    t = Tables(spark, SF_SMALL)
     part = lambda df, c, i: df.filter(F.pmod(F.xxhash64(c), F.lit(3)) == i)
     trades = {i: part(t.enriched, "trade_id", i) for i in range(3)}
     ticks = {i: part(t.ticks, "tick_id", i) for i in range(3)}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketpulse.operators.quality import TRADE_RULES, apply_rules
 from marketpulse.operators.scd2 import scd2_history
-from marketpulse.plans.queries import tables
+from marketpulse.plans.queries import Tables
 from marketpulse.plans.tables import TableStore
 from marketpulse.sources.changelog import read_change_log
 from marketpulse.streaming.pipelines import scd2_batch_fn
@@ -16,7 +16,7 @@ from marketpulse.streaming.sinks import batch_dir_writer, read_batch_dirs
 
 
 def test_gross_bounds_net_and_desks_add_up(spark):
-    t = tables(spark, SF_SMALL)
+    t = Tables(spark, SF_SMALL)
     bad = t.positions.filter(F.col("gross_notional_usd") < F.abs("net_notional_usd") - 1e-6).count()
     assert bad == 0
     total = t.enriched.agg(F.sum(F.when(F.col("side") == "SELL", F.col("notional_usd"))
@@ -27,7 +27,7 @@ def test_gross_bounds_net_and_desks_add_up(spark):
 
 
 def test_kept_plus_dropped_is_input(spark):
-    t = tables(spark, SF_SMALL)
+    t = Tables(spark, SF_SMALL)
     n = t.deduped.count()
     kept = apply_rules(t.deduped, TRADE_RULES).count()
     report = {r["rule"]: r["failed_records"] for r in t_report(t)}
