@@ -30,7 +30,7 @@ from marketpulse.llm.common import Scratch, id_text
 #: Different cuts of one anchor that one task compares; an anchor with more is
 #: compared part by part through shuffles (``window_verdicts``).
 MAX_CUTS = 1024
-#: Windows in one part of such a cut.
+#: Windows in one part of such a cut, if the window is long enough (``part_windows``).
 PART_WINDOWS = 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LAST_ID = 2 ** 63 - 1
@@ -250,11 +250,17 @@ def verdicts(places: DataFrame, cuts: DataFrame, flagged: DataFrame, whole) -> D
 RANGES = "array<struct<start:long,end:long>>"
 
 
+def part_windows(window: int) -> int:
+    """Windows in one part: at most half a window, so that more than half a window is common to them all."""
+    return max(1, min(PART_WINDOWS, window // 2))
+
+
 def _parts(units: Units):
-    """Cuts to parts of at most PART_WINDOWS windows, by the windows' distance to the
+    """Cuts to parts of ``part_windows`` windows or fewer, by the windows' distance to the
     anchor: equal windows fall into parts that share their core, the units common to
     all windows at those distances. s1, s2 hash the part, w1, w2 its core."""
     width = units.window - units.gram + 1
+    size = part_windows(units.window)
     names = ["h1", "h2", "first", "n", "at", "size", "s1", "s2", "w1", "w2", "part"]
 
     def run(batches):
@@ -265,9 +271,9 @@ def _parts(units: Units):
                 count = len(seq) - units.window + 1
                 with np.errstate(over="ignore"):
                     anchor = int(gram_hashes(units.codes(seq), units.gram)[:width].argmin())
-                for k in range((anchor - count + 1) // PART_WINDOWS, anchor // PART_WINDOWS + 1):
-                    near = anchor - k * PART_WINDOWS   # start of the window nearest to the anchor
-                    far = near - PART_WINDOWS + 1
+                for k in range((anchor - count + 1) // size, anchor // size + 1):
+                    near = anchor - k * size   # start of the window nearest to the anchor
+                    far = near - size + 1
                     lo, hi = max(0, far), min(count, near + 1)
                     part = units.pack(seq[lo:hi + units.window - 1])
                     rows.append((h1, h2, first, n, lo, hi - lo))

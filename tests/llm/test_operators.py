@@ -149,6 +149,27 @@ def test_hot_anchors_take_the_shuffle_path(spark, monkeypatch):
     check(sha_of(remove_repeated_bytes(df), "doc_id", "n_bytes", "n_removed", F.size("spans")), brute.op6(rows))
 
 
+def test_hot_passage_whose_first_gram_is_the_anchor(spark, monkeypatch):
+    """The smallest holder has no left context, the others have different ones: all copies but the first go."""
+    import random
+    from marketpulse.llm import relative_lz
+    from marketpulse.llm.passages import gram_hashes, split_by_load
+    r = random.Random(7)
+    units = relative_lz.word_units()
+    for lead in (0, 1):   # the anchor is the first or the second gram of the smallest holder
+        passage = []
+        while not passage or gram_hashes(units.codes(passage), units.gram).argmin() != lead:
+            passage = [f"p{r.randrange(10 ** 6)}".encode() for _ in range(units.window)]
+        text = b" ".join(passage).decode()
+        rows = [(d, " ".join([*(f"a{r.randrange(10 ** 6)}" for _ in range(9 if d else 0)), text,
+                              *(f"b{r.randrange(10 ** 6)}" for _ in range(9))])) for d in range(30)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        monkeypatch.setattr(relative_lz, "split_by_load", lambda cuts: split_by_load(cuts, 2))
+        want = brute.op2(rows)
+        assert sorted(x[2] for x in want) == [0] + [units.window] * 29
+        check(sha_of(remove_repeats(df), "doc_id", "n_words", "n_removed"), want)
+
+
 def test_match_lengths_are_the_longest_matches():
     import random
     r = random.Random(1)
