@@ -11,7 +11,11 @@ check passes; the added kinds (iban, ssn) stay from ``KEEP_SCORE`` on.
 Edge cases: NULL is an empty text, without spans; repeated rows give the same
 spans; an empty table gives an empty result. Patterns start only where a run of
 their characters starts and never give back what they took, so a text that is
-one long run costs one pass.
+one long run costs one pass. IBANs are the exception: each head (two letters, two
+digits) where a word starts proposes the text from there, whatever other heads
+propose, and spans that overlap an IBAN before them fall away. A country of the
+registry fixes the length; for other codes the longest part that ends where a word
+ends and passes mod 97 counts.
 """
 
 from __future__ import annotations
@@ -72,6 +76,29 @@ class Kind:
     score: float
     context: str         # words that announce the kind
     base: bool = True
+    head: int = 0        # characters a match takes, if its group 1 looks further
+    part: object = None  # the confirmed start of a proposal, empty if none is
+
+
+#: IBAN registry: length to country codes.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_REGISTERED = "(?:" + "|".join(" ".join(IBAN_LENGTHS.values()).split()) + ")"
+_IBAN = "|".join([rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items()]
+                 + [rf"(?!{_REGISTERED})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}"])
+
+
+def iban_part(m: Column) -> Column:
+    """The longest start of ``m`` that is an IBAN; all of it or nothing for a registered country."""
+    def ok(n):
+        code = F.regexp_replace(F.substring(m, F.lit(1), n), " ", "")
+        ends = (n == F.char_length(m)) | (~m.rlike("^" + _REGISTERED) & (F.substring(m, n + 1, F.lit(1)) == " "))
+        return ends & (F.char_length(code) >= 15) & mod97(code)
+    longest = F.get(F.filter(F.sequence(F.char_length(m), F.lit(15), F.lit(-1)), ok), F.lit(0))
+    return F.substring(m, F.lit(1), F.coalesce(longest, F.lit(0)))
 
 
 # The kinds in their order, with their patterns. The base patterns
@@ -87,9 +114,8 @@ KINDS = (
          r"[0-9](?:[\x20-]?[0-9]){11}", _card_ok, 0.7, "card|visa|payment|credit"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]",
          r"\+[0-9]", lambda m: F.length(_digits(m)).between(9, 15), 0.6, "call|phone|tel|mobile"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
-         r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]", lambda m: mod97(F.regexp_replace(m, " ", "")), 0.75,
-         "iban|account|bank", False),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=((?:{_IBAN})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}",
+         r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]", lambda m: m != "", 0.75, "iban|account|bank", False, 4, iban_part),
     Kind("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
          r"[0-9]{3}-[0-9]{2}-", lambda m: ~m.rlike("^(?:000|666|9)|-00-|-0000$"), 0.4,
          "ssn|social security|taxpayer", False),
@@ -97,9 +123,9 @@ KINDS = (
 
 
 def _proposals(text: Column, kind: Kind) -> Column:
-    """Array of (start, end, m) of the kind's matches, leftmost first and apart."""
+    """Array of (start, end, m) of the kind's matches, leftmost first and, but for kinds with a head, apart."""
     gaps = F.split(text, kind.pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if kind.head else 0))
     # m is NULL in the last pair: there is one gap more than there are matches.
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,m:string>>").alias("out"))
 
@@ -107,11 +133,25 @@ def _proposals(text: Column, kind: Kind) -> Column:
         begin = a["at"] + F.char_length(x["gap"])
         end = begin + F.char_length(F.coalesce(x["m"], F.lit("")))
         here = F.array(F.struct(begin.alias("start"), end.alias("end"), x["m"].alias("m")))
-        return F.struct(end.alias("at"), F.when(x["m"].isNull(), a["out"]).otherwise(F.concat(a["out"], here)).alias("out"))
+        after = begin + kind.head if kind.head else end
+        return F.struct(after.alias("at"), F.when(x["m"].isNull(), a["out"]).otherwise(F.concat(a["out"], here)).alias("out"))
     pairs = F.arrays_zip(gaps.alias("gap"), found.alias("m"))
     return F.aggregate(pairs, start, step, lambda a: a["out"])
 
 
+def _parts(proposals: Column, kind: Kind) -> Column:
+    """The confirmed parts of proposals that may overlap, leftmost first and apart."""
+    def cut(x):
+        part = kind.part(x["m"])
+        return F.struct(x["start"].alias("start"), (x["start"] + F.char_length(part)).alias("end"), part.alias("m"))
+
+    def step(a, x):
+        free = x["start"] >= F.coalesce(F.get(a, F.size(a) - 1)["end"], F.lit(0))
+        return F.when(free, F.concat(a, F.array(x))).otherwise(a)
+    none = F.array().cast("array<struct<start:int,end:int,m:string>>")
+    return F.aggregate(F.filter(F.transform(proposals, cut), lambda x: kind.check(x["m"])), none, step)
+
+
 def find_spans(src: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``spans``, an array of (start, rank, end, kind, score) in order."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -127,7 +167,9 @@ def find_spans(src: DataFrame, text_col: str = "text") -> DataFrame:
             bonus = F.when(F.lower(before).rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
             return F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"),
                             F.lit(kind.name).alias("kind"), (F.lit(kind.score) + bonus).alias("score"))
-        good = F.transform(F.filter(F.col(f"_p{rank}"), lambda x: kind.check(x["m"])), scored)
+        proposed = F.col(f"_p{rank}")
+        right = _parts(proposed, kind) if kind.part else F.filter(proposed, lambda x: kind.check(x["m"]))
+        good = F.transform(right, scored)
         return good if kind.base else F.filter(good, lambda s: s["score"] >= KEEP_SCORE)
     return (step.select("*", F.array_sort(F.concat(*[spans(r, k) for r, k in enumerate(KINDS)])).cast(f"array<{SPAN}>").alias("spans"))
             .drop(*[f"_p{r}" for r in range(len(KINDS))]))

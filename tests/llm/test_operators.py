@@ -237,6 +237,24 @@ def test_spans_and_masks(spark):
     assert clean[7] == "é" * 30 + " [EMAIL]" and clean[11] is None and clean[8] == rows[7][1]
 
 
+def test_ibans_before_other_upper_case_words(spark):
+    def iban(country, rest):
+        number = int("".join(str(int(c, 36)) for c in rest + country + "00"))
+        return f"{country}{98 - number % 97:02d}{rest}"
+    gb, de = "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"
+    other = iban("QQ", "ABCD1234567890123")   # no country of the registry
+    rows = [(1, f"{gb} Please", [gb]), (2, f"{de} BIC COBADEFF", [de]), (3, "GB82WEST12345698765432 2024-01-01", ["GB82WEST12345698765432"]),
+            (4, f"{gb} {de} NOW {gb}", [gb, de, gb]), (5, f"AT12 {gb} A", [gb]), (6, f"{other} PAID 7", [other]), (7, f"AT12 {other}", [other]),
+            (8, f"{gb[:-1]}3 Please", []), (9, f"{de}A {de}x", []), (10, "AB12 " * 3000, []), (11, "A" * 40000 + "B1" * 9000, [])]
+    df = spark.createDataFrame([(d, t) for d, t, _ in rows], "doc_id long, text string")
+    found = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("iban:")]
+             for r in personal_data(df).collect()}
+    clean = {r.doc_id: r.text for r in mask_personal_data(df).collect()}
+    for d, t, want in rows:
+        assert [t[a:b] for a, b in found[d]] == want, t[:60]
+    assert clean[1] == "[IBAN] Please" and clean[2] == "[IBAN] BIC COBADEFF" and clean[3] == "[IBAN] 2024-01-01"
+
+
 # --- op5 ----------------------------------------------------------------------
 
 def test_quality_keeps_rows_whole_and_rejects_junk(spark, docs, labels, edge_docs):
