@@ -349,6 +349,24 @@ def test_shards(which, spark, docs, edge_docs):
         assert sum(len(s) > 1 for t, s in where.items() if t != "copy") <= 40
 
 
+def test_groups_up_to_a_shard_are_not_cut(spark):
+    """24 shards of 40 rows: groups of 0.3 to 1 shard stay whole, three shards of copies fill three, small groups
+    are cut at borders only."""
+    from collections import defaultdict
+    sizes = {"all": 120, "one": 40, "most": 36, "half": 20, "part": 14, **{f"g{i}": 12 for i in range(5)}, **{f"s{i}": 5 for i in range(100)}}
+    texts = [t for t, n in sizes.items() for _ in range(n)]
+    texts += [f"alone {i}" for i in range(24 * 40 - len(texts))]
+    assert len(texts) == 24 * 40
+    df = spark.createDataFrame([(i * 7919 % 9973, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    of = {r.doc_id: r.text for r in df.collect()}
+    where = defaultdict(set)
+    for r in shard_rows(df).collect():
+        where[of[r.doc_id]].add(r.shard)
+    assert len(where["all"]) == 3
+    assert {t: len(where[t]) for t in sizes if sizes[t] > 5 and t != "all"} == {t: 1 for t in sizes if sizes[t] > 5 and t != "all"}
+    assert sum(len(where[t]) - 1 for t in sizes if sizes[t] == 5) <= 23
+
+
 # --- pipeline -----------------------------------------------------------------
 
 def test_pipeline_equals_its_stages_by_brute_force(spark, docs, items, labels):
