@@ -5,6 +5,8 @@ before it. Both are interpolated Kneser-Ney models fitted on labelled texts;
 below the trigram they share one backoff distribution, whose counts are the
 word types of the whole corpus that hold a trigram. A letter run that neither
 class has seen thus costs both the same, and rare words lean on shared counts.
+The trigrams are counted in Spark, all of them; workers get the probabilities of
+those that go on from letters a class has seen, as the others cost both the same.
 
 A document's evidence is the log-likelihood ratio of its distinct words,
 normalised by their number (plain and by its root), the share of clearly toxic
@@ -40,8 +42,6 @@ DISCOUNT = 0.75
 #: Labelled documents per class. Models of one half give the evidence that the
 #: curve is fitted on for the other half; the models that score use both.
 SAMPLE_DOCS = 3000
-#: Letter runs kept of each kind: most frequent first, ties by text.
-MAX_RUNS = 400_000
 CUTOFF = 0.7
 _STRONG, _CAP = 3.0, 30.0
 _WORD = r"[^\W\d_]+"
@@ -59,7 +59,8 @@ class ClassModels:
     """Log-likelihood ratios of words under the two models.
 
     ``runs``: (run, toxic count, ordinary count) for each order from ORDER down
-    to SHARED_ORDER + 1; ``shared``: (run, word types) of SHARED_ORDER."""
+    to SHARED_ORDER + 1; ``shared``: (run, backoff probability) of SHARED_ORDER, for
+    all runs that follow letters of ``runs``."""
 
     def __init__(self, runs, shared):
         self.levels = []
@@ -76,21 +77,11 @@ class ClassModels:
                             kinds[c][h] = kinds[c].get(h, 0) + 1
             self.levels.append((count, total, kinds))
         self.shared = dict(shared)
-        self.total, self.kinds, self.single = {}, {}, {}
-        for run, n in self.shared.items():
-            self.total[run[:-1]] = self.total.get(run[:-1], 0) + n
-            self.kinds[run[:-1]] = self.kinds.get(run[:-1], 0) + 1
-            self.single[run[-1]] = self.single.get(run[-1], 0) + 1
-        self.all = sum(self.single.values())
         self.run_memory: dict = {}
         self.word_memory: dict = {}
 
     def _backoff(self, run: str) -> float:
-        low = (self.single.get(run[-1], 0) + 1) / (self.all + 5000)
-        total = self.total.get(run[:-1])
-        if not total:
-            return low
-        return max(self.shared.get(run, 0) - DISCOUNT, 0) / total + DISCOUNT * self.kinds[run[:-1]] / total * low
+        return self.shared.get(run, 1.0)   # 1 for runs that only count where no class has seen the letters
 
     def probability(self, run: str, c: int) -> float:
         """Of the last letter of ``run`` after the others, in class c."""
@@ -195,6 +186,26 @@ def _count_runs(batches):
             ["run", "toxic", "fold", "n"])
 
 
+def _backoffs(types: DataFrame, counted: DataFrame, scratch: Scratch) -> DataFrame:
+    """(run, p): the shared probability of the last letter of each trigram of the word types, for the trigrams
+    whose other letters end what stands before a letter of ``counted``; counts, totals and kinds are of all trigrams."""
+    marked = F.concat(F.lit("\u0002" * (SHARED_ORDER - 1)), F.col("word"), F.lit("\u0003"))
+    rows = scratch.save(types.select(F.explode(F.transform(
+        F.sequence(F.lit(1), F.char_length("word") + 1),
+        lambda i: F.substring(marked, i, F.lit(SHARED_ORDER)))).alias("run")).groupBy("run").agg(F.count("*").alias("n"))
+        .select("run", "n", F.substring("run", 1, SHARED_ORDER - 1).alias("h"), F.substring("run", SHARED_ORDER, 1).alias("last")),
+        "trigrams")
+    every = rows.count()
+    after = rows.groupBy("h").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    single = rows.groupBy("last").agg(F.count("*").alias("single"))   # letters: bounded by Unicode
+    seen = (counted.filter(F.char_length("run") == SHARED_ORDER + 1)
+            .select(F.substring("run", 2, SHARED_ORDER - 1).alias("h")).distinct())
+    low = (F.col("single") + 1) / F.lit(float(every + 5000))
+    p = F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("total") + DISCOUNT * F.col("kinds") / F.col("total") * low
+    return (rows.join(after.join(seen, "h", "left_semi"), "h").join(F.broadcast(single), "last")
+            .select("run", p.alias("p")))
+
+
 def _models(holder: dict) -> ClassModels:
     """Built once per worker: a broadcast value stays with the worker's process."""
     if "models" not in holder:
@@ -228,20 +239,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, id_c
 
     def count(toxic: int, fold: int):
         return F.sum(F.when((F.col("toxic") == toxic) & (F.col("fold") == fold), F.col("n")).otherwise(0)).alias(f"c{toxic}{fold}")
-    counted = (texts.mapInArrow(_count_runs, "run string, toxic int, fold int, n long").groupBy("run")
-               .agg(F.sum("n").alias("n"), *[count(t, f) for f in (0, 1) for t in (1, 0)]))
-    runs = [tuple(r) for r in counted.orderBy(F.desc("n"), "run").limit(MAX_RUNS).drop("n").collect()]
+    counted = scratch.save(texts.mapInArrow(_count_runs, "run string, toxic int, fold int, n long").groupBy("run")
+                           .agg(*[count(t, f) for f in (0, 1) for t in (1, 0)]), "runs")
+    runs = [tuple(r) for r in counted.collect()]   # those of the sample
     types = src.select("text").mapInArrow(_type_runs, "word string").distinct()
-    marked = F.concat(F.lit("\u0002" * (SHARED_ORDER - 1)), F.col("word"), F.lit("\u0003"))
-    shared = [tuple(r) for r in (types.select(F.explode(F.transform(
-                  F.sequence(F.lit(1), F.char_length("word") + 1),
-                  lambda i: F.substring(marked, i, F.lit(SHARED_ORDER)))).alias("run"))
-              .groupBy("run").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "run").limit(MAX_RUNS).collect())]
+    shared = [tuple(r) for r in _backoffs(types, counted, scratch).collect()]
     x, y = [], []
     for fold in (0, 1):   # each half is judged by models of the other
         other = 2 * (1 - fold)
         half = {"runs": [(r[0], r[1 + other], r[2 + other]) for r in runs], "shared": shared}
-        sent = docs.sparkSession.sparkContext.broadcast(half)   # bounded by MAX_RUNS
+        sent = docs.sparkSession.sparkContext.broadcast(half)
         for r in (texts.filter(F.col("fold") == fold).select("text", "toxic")
                   .mapInArrow(_evidence(sent, 1), "toxic int, x array<double>").collect()):
             x.append(r["x"])

@@ -323,6 +323,51 @@ def test_toxicity_scores(spark, docs, labels, edge_docs):
     assert toxicity(edge_docs, labels).count() == edge_docs.count()
 
 
+def test_rare_letter_runs_keep_their_counts(spark):
+    """More than 500,000 different trigrams, each in few word types: every word's ratio equals that of full counts."""
+    import math
+    import random
+    import zlib
+    from collections import Counter
+    from marketpulse.llm.toxicity import DISCOUNT, ClassModels, fit, letter_runs
+    r = random.Random(4)
+    rows = [(i, " ".join("".join(chr(0x4E00 + r.randrange(20000)) for _ in range(20)) for _ in range(130))) for i in range(200)]
+    rows = [(i, t + " river rivers driver") for i, t in rows]
+    marks = [(i, 1, i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    tables, _ = fit(df, spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    models = ClassModels(tables["runs"], tables["shared"])
+    shared = Counter(x for w in {w for _, t in rows for w in t.split()} for x in letter_runs(w, 3))
+    assert len(shared) > 500_000
+    total, kinds, single = Counter(), Counter(x[:-1] for x in shared), Counter(x[-1] for x in shared)
+    for x, n in shared.items():
+        total[x[:-1]] += n
+    train = [i for i, _, _ in marks if zlib.crc32(str(i).encode()) % 3 != 1]
+    count = [Counter(x for i in train if i % 2 == toxic for w in rows[i][1].split() for k in (4, 5) for x in letter_runs(w, k))
+             for toxic in (1, 0)]
+    after, follow = [Counter(), Counter()], [Counter(x[:-1] for x in c) for c in count]
+    for c in (0, 1):
+        for x, n in count[c].items():
+            after[c][x[:-1]] += n
+
+    def ratio(word):
+        value = 0.0
+        for run in letter_runs(word, 5):
+            x = run[2:]
+            p = [max(shared[x] - DISCOUNT, 0) / total[x[:-1]]
+                 + DISCOUNT * kinds[x[:-1]] / total[x[:-1]] * (single[x[-1]] + 1) / (sum(single.values()) + 5000)] * 2
+            for part in (run[1:], run):
+                for c in (0, 1):
+                    n = after[c][part[:-1]]
+                    if n:
+                        p[c] = max(count[c][part] - DISCOUNT, 0) / n + DISCOUNT * follow[c][part[:-1]] / n * p[c]
+            value += math.log(p[0] / p[1])
+        return value
+    for i in (*train[:6], 150):
+        for w in rows[i][1].split():
+            assert abs(models.ratio(w) - ratio(w)) < 1e-9, w
+
+
 # --- op10 ---------------------------------------------------------------------
 
 @pytest.mark.parametrize("which", ["given", "edge", "empty", "hot"])
