@@ -79,6 +79,12 @@ def _covered(spans: Column) -> Column:
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                   text_col: str = "text", max_broadcast: int = MAX_BROADCAST_GRAMS) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated): one row per input row."""
+    return _judged(docs, benchmark, window, id_col, text_col, max_broadcast).drop("text_key")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, text_col: str,
+            max_broadcast: int = MAX_BROADCAST_GRAMS) -> DataFrame:
+    """``contamination`` with text_key, the hash that tells apart texts of one id."""
     src = id_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
     items = benchmark_grams(benchmark, window)
     facts = items.agg(F.countDistinct("gram").alias("n"), F.collect_set("len").alias("lens")).first()
@@ -106,16 +112,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     none = F.array().cast("array<string>")
     return (out.alias("d").join(found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))
                                 & (F.col("d.text_key") == F.col("f.text_key")), "left")
-            .select("d.doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+            .select("d.doc_id", "d.text_key", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                     F.coalesce("items", none).alias("items"))
-            .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+            .select("doc_id", "text_key", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                     sha256_hex(F.array_join("items", ",")).alias("items_sha256"),
                     (F.col("n_hit") > 0).alias("contaminated")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without a benchmark window. A row without id stays."""
-    dirty = (contamination(docs, benchmark, window, id_col, text_col)
-             .filter("contaminated").select(F.col("doc_id").alias("_dirty_id")).distinct())
-    return docs.join(dirty, docs[id_col] == F.col("_dirty_id"), "left_anti")
+    """The rows of ``docs`` without a benchmark window, whatever their id."""
+    dirty = (_judged(docs, benchmark, window, id_col, text_col).filter("contaminated")
+             .select(F.col("doc_id").alias("_dirty_id"), F.col("text_key").alias("_dirty_key")).distinct())
+    return docs.join(dirty, docs[id_col].eqNullSafe(F.col("_dirty_id"))
+                     & (F.xxhash64(docs[text_col]) == F.col("_dirty_key")), "left_anti")

@@ -412,6 +412,18 @@ def test_groups_up_to_a_shard_are_not_cut(spark):
     assert sum(len(where[t]) - 1 for t in sizes if sizes[t] == 5) <= 23
 
 
+# --- op7 ----------------------------------------------------------------------
+
+def test_contaminated_rows_go_by_row(spark):
+    from marketpulse.llm.decontaminate import drop_contaminated
+    item = "one two three four five six seven eight nine ten eleven"
+    rows = [(1, f"x {item} y"), (1, "clean text"), (None, item), (None, "clean too"), (None, None), (2, item), (2, item), (3, "other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = drop_contaminated(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert kept.columns == df.columns
+    check(kept, [r for r in rows if item not in (r[1] or "")])
+
+
 # --- pipeline -----------------------------------------------------------------
 
 def test_pipeline_equals_its_stages_by_brute_force(spark, docs, items, labels):
