@@ -42,7 +42,7 @@ SLACK = 1.25
 #: A group of more than this part of a shard is placed as a whole: fewer than SHARDS * LARGE_PART groups,
 #: or, in shards of fewer rows than twice this, half the rows.
 LARGE_PART = 4
-#: Far above the rounds that tables take (2 to 5).
+#: Bound on the rounds; reaching it gives a warning.
 ROUNDS = 64
 _GROUP = ["g", "text_crc32", "size"]
 
