@@ -56,3 +56,30 @@ SELECT conv_id, CAST(len(l) AS BIGINT) AS n_turns,
        array_to_string(list_transform(l, lambda x: '<|im_start|>' || coalesce(x.r, 'unknown') || chr(10)
          || regexp_replace(coalesce(x.t, ''), '<\|(im_start|im_end)\|>', '<||\1||>', 'g') || '<|im_end|>'), chr(10)) AS text
 FROM lead ANTI JOIN prefixes USING (l)"""
+
+
+def _codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every Lloyd round as two table expressions: all parts against all entries, then floored means."""
+    nearest = """SELECT vec_id, part, x, min(struct_pack(d := list_sum(list_transform(list_zip(x, e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), j := entry)) AS b
+                 FROM cells JOIN book{k} USING (part) GROUP BY ALL"""
+    steps = []
+    for k in range(rounds):
+        steps.append(f"near{k} AS MATERIALIZED ({nearest.format(k=k)})")
+        steps.append(f"""mean{k} AS (SELECT part, b.j AS entry, i, sum(x[i])::BIGINT AS s, count(*) AS c FROM near{k}, unnest(range(1, len(x) + 1)) t(i) GROUP BY ALL),
+fresh{k} AS (SELECT part, entry, list((s - ((s % c) + c) % c) // c ORDER BY i) AS e FROM mean{k} GROUP BY ALL),
+book{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(f.e, o.e) AS e FROM book{k} o LEFT JOIN fresh{k} f USING (part, entry))""")
+    return f"""
+WITH fine AS (SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(4096 * CAST(c AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+              WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+cells AS MATERIALIZED (SELECT vec_id, part, v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}] AS x FROM fine, unnest(range({parts})) t(part)),
+seed AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM fine ORDER BY vec_id LIMIT {entries}),
+book0 AS MATERIALIZED (SELECT part, entry, x AS e FROM seed JOIN cells USING (vec_id)),
+{", ".join(steps)},
+last AS ({nearest.format(k=rounds)}),
+digest AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS h FROM book{rounds}),
+rows AS (SELECT vec_id, string_agg(printf('%02x', b.j), '' ORDER BY part) AS code, CAST(sum(b.d) AS BIGINT) AS error FROM last GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM rows JOIN fine USING (vec_id), digest"""
+
+
+VECTOR_CODES = _codes()

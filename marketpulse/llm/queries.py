@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 from marketpulse.llm.chat import format_chats
 from marketpulse.llm.common import sha256_hex, table
 from marketpulse.llm.decontaminate import contamination
-from marketpulse.llm.oracle import BYTES, CHATS, CONTAMINATION, SUBSTRINGS
+from marketpulse.llm.nearest import nearest_neighbours
+from marketpulse.llm.oracle import BYTES, CHATS, CONTAMINATION, SUBSTRINGS, VECTOR_CODES
 from marketpulse.llm.pieces import default_model, encode_column, read_pieces
 from marketpulse.llm.pii import personal_data
 from marketpulse.llm.quality import quality
 from marketpulse.llm.relative_lz import remove_repeats
+from marketpulse.llm.repair import repair_damaged
 from marketpulse.llm.run_index import remove_repeated_bytes
 from marketpulse.llm.sharding import shard_rows
 from marketpulse.llm.simhash import near_duplicates
 from marketpulse.llm.toxicity import toxicity
+from marketpulse.llm.vector_codes import vector_codes
 
 
 def op1_simhash_near_dedup(spark, sf_dir):
@@ -61,6 +64,18 @@ def op10_sharding(spark, sf_dir):
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_nearest_neighbours(spark, sf_dir):
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_repair(spark, sf_dir):
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -72,6 +87,9 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
@@ -80,4 +98,5 @@ ORACLE: dict[str, str] = {
     "op6_suffix_array_dedup": BYTES,
     "op7_decontamination": CONTAMINATION,
     "op8_chat_formatting": CHATS,
+    "op12_vector_codes": VECTOR_CODES,
 }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -190,3 +192,108 @@ def op8(rows):
             seen.add(v)
             kept.append((conv, len(v)))
     return kept
+
+
+def damaged(rows):
+    """Rows (conv, turn, role, text) after the fixed damage."""
+    out = []
+    for conv, turn, role, text in rows:
+        part = lambda x: " " if x is None else str(x)
+        kind = zlib.crc32(f"{part(conv)}:{part(turn)}".encode()) % 20
+        role, text = part(role), part(text)
+        if kind == 0:
+            continue
+        text = {1: "", 2: re.sub("[.!?]", "", text)}.get(kind, text)
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def op13(rows):
+    """(conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256) of every conversation."""
+    talks = {r[0]: [] for r in rows}
+    for r in damaged(rows):
+        talks[r[0]].append(r[1:])
+    return [(conv, *repaired(sorted(t, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2].encode()))))
+            for conv, t in talks.items()]
+
+
+def repaired(talk):
+    """All edits of a talk's rows (turn, role, text), the least (cost, letters) per number of rows and roles so far."""
+    turns = {t for t, _, _ in talk if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    seen, n = set(), {"blank": 0, "duplicate": 0, "truncated": 0}
+    best = {"": (0, "", ())}    # roles so far, shortened to what decides the rest
+
+    def short(roles):
+        return roles if roles in ("", "s") else roles[-1]
+
+    def fits(roles, r):
+        return r in {"": "su", "s": "u", "u": "a", "a": "u"}[roles]
+
+    def put(into, roles, item):
+        if roles not in into or item[:2] < into[roles][:2]:
+            into[roles] = item
+            return True
+
+    def inserts(at):
+        todo = list(at)
+        while todo:
+            roles = todo.pop()
+            cost, edits, lines = at[roles]
+            for r in "ua":
+                if fits(roles, r) and put(at, short(roles + r), (cost + 5, edits + "I", (*lines, ("user:" if r == "u" else "assistant:")))):
+                    todo.append(short(roles + r))
+
+    initials = []
+    for _, role, text in talk:
+        initials.append(role[:1])
+        seeable = text.strip(" \t\n\x0b\x0c\r")
+        fault = ("blank" if not seeable else "duplicate" if (role, text) in seen else "truncated" if seeable[-1] not in ".!?" else None)
+        seen.add((role, text))
+        if fault:
+            n[fault] += 1
+        inserts(best)
+        new = {}
+        for roles, (cost, edits, lines) in best.items():
+            put(new, roles, (cost + 2, edits + "D", lines))
+            if fault in ("blank", "duplicate"):
+                continue
+            more = 5 if fault else 0
+            if role[:1] and fits(roles, role[:1]):
+                put(new, short(roles + role[:1]), (cost + more, edits + "K", (*lines, f"{role}:{text}")))
+            for r, name in (("u", "user"), ("a", "assistant")):
+                if fits(roles, r):
+                    put(new, short(roles + r), (cost + 1 + more, edits + "R", (*lines, f"{name}:{text}")))
+        best = new
+    inserts(best)
+    cost, edits, lines = min(best[r] for r in ("", "a") if r in best)
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    return (gaps, n["blank"], n["duplicate"], n["truncated"], illegal, cost, edits,
+            hashlib.sha256("\n".join(lines).encode()).hexdigest())
+
+
+def op12(rows, parts=8, entries=16, rounds=6):
+    """(vec_id, code, error, label_error, codebooks_sha256) by plain Lloyd rounds on Python integers."""
+    fine = [(i, v, c) for i, v, c in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    fine.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    fine = [r for r in fine if len(r[1]) == len(fine[0][1])]
+    if not fine:
+        return []
+    n = len(fine[0][1])
+    spans = [(k * n // parts, (k + 1) * n // parts) for k in range(parts)]
+    cells = [[[math.floor(4096 * float(np.float32(x))) for x in v[lo:hi]] for lo, hi in spans] for _, v, _ in fine]
+    books = [[c[k] for c in cells[:entries]] for k in range(parts)]
+    for rd in range(rounds + 1):
+        near = [[min((sum((a - b) ** 2 for a, b in zip(c[k], e)), j) for j, e in enumerate(books[k])) for k in range(parts)] for c in cells]
+        if rd < rounds:
+            for k in range(parts):
+                for j in range(len(books[k])):
+                    mine = [c[k] for c, a in zip(cells, near) if a[k][1] == j]
+                    if mine:
+                        books[k][j] = [sum(x) // len(mine) for x in zip(*mine)]
+    digest = sha(",".join(str(x) for b in books for e in b for x in e))
+    error = [sum(d for d, _ in a) for a in near]
+    total = Counter()
+    for (_, _, c), e in zip(fine, error):
+        total[c] += e
+    return [(i, "".join(f"{j:02x}" for _, j in a), e, total[c], digest) for (i, _, c), a, e in zip(fine, near, error)]
