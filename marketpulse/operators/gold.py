@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import FINE, exact_avg, money_sum, money_sum_dec, round_half_up
-from ..functions.signs import cashflow_signed, long_part, short_part
-from ..functions.timefmt import hour_bucket
+from ..functions.money import round_half_up
 from ..plans.joins import lookup_join, prefixed
 from ..schemas import ANOMALY_COLUMNS, MTM_COLUMNS
+from .aggregates import COUNTERPARTY_EXPOSURE, DESK_PNL, HOURLY_VOLUME, SECTOR_EXPOSURE, TICKER_STATS
+from .silver import enrich_trades
 
 
 def _stamp(df: DataFrame, name: str, on: bool) -> DataFrame:
@@ -17,87 +17,23 @@ def _stamp(df: DataFrame, name: str, on: bool) -> DataFrame:
 
 
 def desk_pnl(trades: DataFrame, *, calculated_at: bool = False) -> DataFrame:
-    """AG-2 + PRJ-8, PRJ-10. ``net_pnl_usd`` is cash flow: sells − buys
-    (non-SELL counts as buy); ``buy_sell_ratio = round(buy / greatest(sell, 1), 2)``.
-
-    The two distinct counts are planned by Catalyst as one Expand + two-level
-    aggregate: the first shuffle is keyed by (desk, value), so a desk with a
-    third of all trades still spreads over many tasks."""
-    out = (trades.groupBy("desk", "desk_full_name")
-           .agg(money_sum(cashflow_signed("notional_usd")).alias("net_pnl_usd"),
-                money_sum(F.abs("notional_usd")).alias("gross_volume_usd"),
-                F.count("trade_id").alias("trade_count"),
-                F.countDistinct("ticker").alias("unique_tickers"),
-                F.countDistinct("trader_id").alias("active_traders"),
-                exact_avg("notional_usd").alias("avg_trade_size_usd"),
-                F.max("event_time").alias("last_trade_time"),
-                F.sum(F.when(F.col("side") == "BUY", 1).otherwise(0)).cast("bigint").alias("buy_count"),
-                F.sum(F.when(F.col("side") == "SELL", 1).otherwise(0)).cast("bigint").alias("sell_count"))
-           .withColumn("buy_sell_ratio",
-                       round_half_up(F.col("buy_count") / F.greatest(F.col("sell_count"), F.lit(1)), 2)))
-    return _stamp(out, "calculated_at", calculated_at)
-
-
-def _exposure_aggs() -> list[Column]:
-    return [money_sum_dec(long_part("notional_usd")).alias("__long"),
-            money_sum_dec(short_part("notional_usd")).alias("__short"),
-            F.count("trade_id").alias("trade_count"),
-            F.countDistinct("ticker").alias("unique_tickers"),
-            F.countDistinct("desk").alias("active_desks")]
-
-
-def _exposure_cols(df: DataFrame) -> DataFrame:
-    """PRJ-12 in exact decimals, then doubles at the output."""
-    return (df.withColumn("long_notional_usd", F.col("__long").cast("double"))
-              .withColumn("short_notional_usd", F.col("__short").cast("double"))
-              .withColumn("net_exposure_usd", (F.col("__long") - F.col("__short")).cast("double"))
-              .withColumn("gross_exposure_usd", (F.col("__long") + F.col("__short")).cast("double")))
+    """AG-2: cash flow, volume and activity per desk."""
+    return _stamp(DESK_PNL.batch(trades), "calculated_at", calculated_at)
 
 
 def risk_exposure_by_sector(trades: DataFrame, *, calculated_at: bool = False) -> DataFrame:
-    """AG-3 + PRJ-11: BUY is long, SELL short, other sides neither."""
-    out = _exposure_cols(trades.groupBy("sector", "asset_class").agg(*_exposure_aggs()))
-    out = out.withColumn(
-        "long_short_ratio",
-        round_half_up(F.when(F.col("__short") > 0,
-                             F.col("long_notional_usd") / F.col("short_notional_usd")), 4))
-    out = out.select("sector", "asset_class", "long_notional_usd", "short_notional_usd",
-                     "trade_count", "unique_tickers", "active_desks", "net_exposure_usd",
-                     "gross_exposure_usd", "long_short_ratio")
-    return _stamp(out, "calculated_at", calculated_at)
+    """AG-3: long, short, net and gross notional per sector and asset class."""
+    return _stamp(SECTOR_EXPOSURE.batch(trades), "calculated_at", calculated_at)
 
 
 def counterparty_exposure(trades: DataFrame, *, calculated_at: bool = False) -> DataFrame:
     """AG-4: concentration by counterparty."""
-    keys = ["counterparty_id", "counterparty_name", "risk_rating", "counterparty_type", "cp_country"]
-    out = _exposure_cols(trades.groupBy(*keys).agg(
-        *_exposure_aggs(), exact_avg("notional_usd").alias("avg_trade_size_usd"),
-        F.max("event_time").alias("last_trade_time")))
-    out = out.select(*keys, "long_notional_usd", "short_notional_usd", "trade_count",
-                     "unique_tickers", "active_desks", "avg_trade_size_usd", "last_trade_time",
-                     "net_exposure_usd", "gross_exposure_usd")
-    return _stamp(out, "calculated_at", calculated_at)
+    return _stamp(COUNTERPARTY_EXPOSURE.batch(trades), "calculated_at", calculated_at)
 
 
 def ticker_stats(trades: DataFrame) -> DataFrame:
-    """WN-2 as a grouped aggregate: mean and sample stddev of quantity, mean price.
-
-    The variance is formed from exact integer sums, (nΣx² − (Σx)²) / (n(n−1)),
-    so it is engine independent; NULL for a single trade, like ``stddev``."""
-    q = F.col("quantity").cast("decimal(38,0)")
-    st = trades.groupBy("ticker").agg(
-        F.count("quantity").alias("__n"),
-        F.sum("quantity").cast("decimal(38,0)").alias("__s"),
-        F.sum(q * q).alias("__ss"),
-        exact_avg("price", FINE).alias("avg_price"))
-    n = F.col("__n")
-    num = (n.cast("decimal(38,0)") * F.col("__ss") - F.col("__s") * F.col("__s")).cast("double")
-    den = (n * (n - 1)).cast("double")
-    return st.select(
-        "ticker",
-        (F.col("__s").cast("double") / n).alias("avg_qty"),
-        F.when(n > 1, F.sqrt(num / den)).alias("stddev_qty"),
-        "avg_price")
+    """WN-2 as a grouped aggregate: mean and sample stddev of quantity, mean price."""
+    return TICKER_STATS.batch(trades)
 
 
 def flag_anomalies(trades: DataFrame, stats: DataFrame) -> DataFrame:
@@ -105,7 +41,7 @@ def flag_anomalies(trades: DataFrame, stats: DataFrame) -> DataFrame:
     deviation (compared after rounding), AN-3 risk breach, on every trade.
     Stats (one row per ticker) are looked up by a join instead of a
     whole-ticker window."""
-    t = lookup_join(trades, stats.withColumnRenamed("ticker", "__key"), "ticker", "__key")
+    t = lookup_join(trades, stats.withColumnRenamed("ticker", "__key"), "ticker", "__key", spread_by="trade_id")
     dev = F.abs(F.col("price") - F.col("avg_price")) / F.col("avg_price") * 100
     return (t.withColumn("is_qty_anomaly",
                          F.col("quantity") > F.col("avg_qty") + 3 * F.coalesce(F.col("stddev_qty"), F.lit(0.0)))
@@ -126,19 +62,21 @@ def trade_anomalies(trades: DataFrame, *, detected_at: bool = False, stats_of: D
     the same trades before the lookups: the statistics need none of their
     columns, so the lookups are planned once."""
     flagged = flag_anomalies(trades, ticker_stats(trades if stats_of is None else stats_of))
-    out = flagged.filter(F.col("is_anomaly") == True).select(*ANOMALY_COLUMNS)  # noqa: E712
+    out = flagged.filter("is_anomaly").select(*ANOMALY_COLUMNS)
     return _stamp(out, "detected_at", detected_at)
 
 
+def anomalies_of_clean(trades: DataFrame, instruments: DataFrame, traders: DataFrame, counterparties: DataFrame) -> DataFrame:
+    """``trade_anomalies`` of trades before their lookups: flags need only the trader's limit, so
+    the other two lookups run over the flagged rows alone."""
+    limited = enrich_trades(trades, None, traders, None)
+    flagged = flag_anomalies(limited, ticker_stats(trades)).filter("is_anomaly")
+    return enrich_trades(flagged, instruments, None, counterparties, derive=False).select(*ANOMALY_COLUMNS)
+
+
 def hourly_trade_volume(trades: DataFrame, *, calculated_at: bool = False) -> DataFrame:
     """AG-5: hour bucket × desk × sector."""
-    out = (trades.withColumn("trade_hour", hour_bucket("event_time"))
-           .groupBy("trade_hour", "desk", "sector")
-           .agg(F.count("trade_id").alias("trade_count"),
-                money_sum("notional_usd").alias("total_notional_usd"),
-                exact_avg("price", FINE).alias("avg_price"),
-                F.sum("quantity").alias("total_quantity")))
-    return _stamp(out, "calculated_at", calculated_at)
+    return _stamp(HOURLY_VOLUME.batch(trades), "calculated_at", calculated_at)
 
 
 def mark_to_market_pnl(positions: DataFrame, prices: DataFrame, *, calculated_at: bool = False) -> DataFrame:

@@ -8,11 +8,11 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import FINE, exact_avg, money_sum, notional, round_half_up
-from ..functions.signs import position_side, position_signed
+from ..functions.money import FINE, notional, round_half_up
 from ..functions.timefmt import with_event_time
 from ..plans.joins import lookup_join, prefixed
 from ..schemas import LATEST_PRICE_COLUMNS
+from .aggregates import POSITIONS
 from .dedup import dedup_first
 from .quality import TICK_RULES, TRADE_RULES, Rule, apply_rules
 
@@ -39,29 +39,40 @@ def clean_trades(raw: DataFrame, rules: Sequence[Rule] = TRADE_RULES) -> DataFra
     return apply_rules(dedup_trades(raw), rules)
 
 
-def enrich_trades(trades: DataFrame, instruments: DataFrame, traders: DataFrame,
-                  counterparties: DataFrame, *, processed_at: bool = False) -> DataFrame:
+def enrich_trades(trades: DataFrame, instruments: DataFrame | None, traders: DataFrame | None,
+                  counterparties: DataFrame | None, *, processed_at: bool = False, derive: bool = True) -> DataFrame:
     """JN-1 instruments, JN-2 current traders, JN-3 current counterparties
     (each dimension renamed and pruned first, PRJ-16), then PRJ-2 notional,
     PRJ-3 trade date, PRJ-4 trade hour, PRJ-17 ``processed_at``.
 
-    ``traders`` and ``counterparties`` are current rows (``current_rows``)."""
-    lookups = (("ticker", prefixed(instruments, "ticker", "__key", "company_name", "sector")),
-               ("trader_id", prefixed(traders, "trader_id", "__key", "trader_name", "desk_full_name",
-                                      "risk_limit_usd", "location")),
-               ("counterparty_id", prefixed(counterparties, "counterparty_id", "__key", "counterparty_name",
-                                            "risk_rating", "counterparty_type", cp_country="country")))
+    ``traders`` and ``counterparties`` are current rows (``current_rows``). A query that
+    needs none of a dimension's columns passes None and saves its lookup: Spark could not drop
+    it, as it does not know the keys to be unique."""
     t = trades.drop(ARRIVAL) if ARRIVAL in trades.columns else trades
-    for key, dim in lookups:
-        t = lookup_join(t, dim, key, "__key")
-    t = (t.withColumn("notional_usd", notional("price", "quantity"))
-          .withColumn("trade_date", F.to_date("event_time"))
-          .withColumn("trade_hour", F.hour("event_time")))
+    if instruments is not None:
+        t = _looked_up(t, "ticker", prefixed(instruments, "ticker", "__key", "company_name", "sector"))
+    if traders is not None:
+        t = _looked_up(t, "trader_id", prefixed(traders, "trader_id", "__key", "trader_name", "desk_full_name",
+                                                "risk_limit_usd", "location"))
+    if counterparties is not None:
+        t = _looked_up(t, "counterparty_id", prefixed(counterparties, "counterparty_id", "__key", "counterparty_name",
+                                                      "risk_rating", "counterparty_type", cp_country="country"))
+    if derive:
+        t = with_notional(t).withColumn("trade_date", F.to_date("event_time")).withColumn("trade_hour", F.hour("event_time"))
     if processed_at:
         t = t.withColumn("processed_at", F.current_timestamp())
     return t
 
 
+def _looked_up(t: DataFrame, key: str, dim: DataFrame) -> DataFrame:
+    return lookup_join(t, dim, key, "__key", spread_by="trade_id" if "trade_id" in t.columns else None)
+
+
+def with_notional(trades: DataFrame) -> DataFrame:
+    """PRJ-2."""
+    return trades.withColumn("notional_usd", notional("price", "quantity"))
+
+
 def enriched_trades(raw: DataFrame, instruments: DataFrame, traders: DataFrame,
                     counterparties: DataFrame, **kw) -> DataFrame:
     return enrich_trades(clean_trades(raw), instruments, traders, counterparties, **kw)
@@ -100,14 +111,5 @@ def latest_prices(ticks: DataFrame, keep_id: bool = False) -> DataFrame:
 
 def positions(trades: DataFrame, *, calculated_at: bool = False) -> DataFrame:
     """AG-1: net position per (ticker, desk, sector, asset_class)."""
-    out = (trades.groupBy("ticker", "desk", "sector", "asset_class")
-           .agg(F.sum(position_signed("quantity")).alias("net_quantity"),
-                money_sum(position_signed("notional_usd")).alias("net_notional_usd"),
-                money_sum(F.abs("notional_usd")).alias("gross_notional_usd"),
-                F.count("trade_id").alias("trade_count"),
-                exact_avg("price", FINE).alias("avg_price"),
-                F.max("event_time").alias("last_trade_time"))
-           .withColumn("position_side", position_side()))
-    if calculated_at:
-        out = out.withColumn("calculated_at", F.current_timestamp())
-    return out
+    out = POSITIONS.batch(trades)
+    return out.withColumn("calculated_at", F.current_timestamp()) if calculated_at else out

@@ -3,17 +3,21 @@ driver tables. Processing-time stamps are left out (not deterministic)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import aggregates as agg
 from ..operators import dashboard, gold, scd2, silver
 from ..operators.quality import TICK_RULES, TRADE_RULES, rule_report, warn_rules
+from ..session import scratch_path
 from ..sources import driver_tables as dt
 from ..sources.counts import table_counts
 from . import stream_checks
+from .incremental import read_anomalies
 
 TRADE_OUT = [
     "trade_id", "ticker", "side", "quantity", "price", "order_type", "trader_id", "desk",
@@ -52,11 +56,46 @@ class Tables:
     def clean(self) -> DataFrame:
         return silver.clean_trades(self.raw_trades)
 
+    @cached_property
+    def instruments(self) -> DataFrame:
+        return dt.instruments(self.spark, self.sf_dir)
+
+    # Stored, as the pipeline stores its histories: Spark then plans lookups from their true size.
+    @cached_property
+    def traders(self) -> DataFrame:
+        return self.kept(dt.traders(self.spark, self.sf_dir))
+
+    @cached_property
+    def counterparties(self) -> DataFrame:
+        return self.kept(dt.counterparties(self.spark, self.sf_dir))
+
+    @property
+    def dims(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return self.instruments, self.traders, self.counterparties
+
     @cached_property
     def enriched(self) -> DataFrame:
-        return silver.enrich_trades(self.clean, dt.instruments(self.spark, self.sf_dir),
-                                    dt.traders(self.spark, self.sf_dir),
-                                    dt.counterparties(self.spark, self.sf_dir))
+        return silver.enrich_trades(self.clean, *self.dims)
+
+    @cached_property
+    def priced(self) -> DataFrame:
+        """Clean trades with their notional, before any lookup."""
+        return silver.with_notional(self.clean)
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        """``df`` written to the shared scratch folder and read back: what reads it twice runs it once."""
+        path = scratch_path(self.spark, f"kept-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _sectors(self, rows: DataFrame) -> DataFrame:
+        return silver.enrich_trades(rows, self.instruments, None, None, derive=False)
+
+    def _desks(self, rows: DataFrame) -> DataFrame:
+        return silver.enrich_trades(rows, None, self.traders, None, derive=False)
+
+    def _counterparties(self, rows: DataFrame) -> DataFrame:
+        return silver.enrich_trades(rows, None, None, self.counterparties, derive=False)
 
     @cached_property
     def derived_ticks(self) -> DataFrame:
@@ -72,23 +111,23 @@ class Tables:
 
     @cached_property
     def positions(self) -> DataFrame:
-        return silver.positions(self.enriched)
+        return agg.POSITIONS.by_finer(self.priced, ["ticker", "desk", "asset_class"], self._sectors)
 
     @cached_property
     def desk_pnl(self) -> DataFrame:
-        return gold.desk_pnl(self.enriched)
+        return agg.DESK_PNL.by_finer(self.priced, ["desk", "trader_id"], self._desks, self.kept)
 
     @cached_property
     def sector_exposure(self) -> DataFrame:
-        return gold.risk_exposure_by_sector(self.enriched)
+        return agg.SECTOR_EXPOSURE.by_finer(self.priced, ["ticker", "asset_class", "desk"], self._sectors, self.kept)
 
     @cached_property
     def anomalies(self) -> DataFrame:
-        return gold.trade_anomalies(self.enriched, stats_of=self.clean)
+        return gold.anomalies_of_clean(self.kept(self.clean), *self.dims)
 
     @cached_property
     def hourly(self) -> DataFrame:
-        return gold.hourly_trade_volume(self.enriched)
+        return gold.hourly_trade_volume(self._sectors(self.priced))
 
     @cached_property
     def mtm(self) -> DataFrame:
@@ -143,13 +182,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "positions": _q(lambda t: t.positions),
     "desk_pnl": _q(lambda t: t.desk_pnl),
     "risk_exposure_by_sector": _q(lambda t: t.sector_exposure),
-    "counterparty_exposure": _q(lambda t: gold.counterparty_exposure(t.enriched)),
+    "counterparty_exposure": _q(lambda t: agg.COUNTERPARTY_EXPOSURE.by_finer(
+        t.priced, ["counterparty_id"], t._counterparties, t.kept)),
     "ticker_stats": _q(lambda t: gold.ticker_stats(t.clean)),
     "anomaly_quantity": _q(lambda t: t.anomalies.filter("is_qty_anomaly")
                            .select("trade_id", "ticker", "quantity", "avg_qty")),
     "anomaly_price": _q(lambda t: t.anomalies.filter("is_price_anomaly")
                         .select("trade_id", "ticker", "price", "avg_price", "price_deviation_pct")),
-    "anomaly_risk_limit": _q(lambda t: t.enriched.filter(gold.risk_breach())
+    "anomaly_risk_limit": _q(lambda t: silver.enrich_trades(t.clean, None, t.traders, None).filter(gold.risk_breach())
                              .select("trade_id", "trader_id", "notional_usd", "risk_limit_usd")),
     "trade_anomalies": _q(lambda t: t.anomalies),
     "hourly_trade_volume": _q(lambda t: t.hourly),
@@ -170,8 +210,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedup_within": _q(lambda t: stream_checks.stream_dedup_within(t.spark, t.raw_trades)),
     "live_mark_to_market_pnl": _q(lambda t: stream_checks.live_tables(t.spark, t.enriched, t.ticks)
                                   .read("mark_to_market_pnl")),
-    "incremental_trade_anomalies": _q(lambda t: stream_checks.incremental_tables(
-        t.spark, t.enriched, t.ticks).read("trade_anomalies")),
+    "incremental_trade_anomalies": _q(lambda t: read_anomalies(stream_checks.incremental_tables(
+        t.spark, t.enriched, t.ticks))),
     "dash_cards": _q(lambda t: dashboard.cards(t.desk_pnl, t.mtm)),
     "dash_pnl_by_desk": _q(lambda t: dashboard.pnl_by_desk(t.desk_pnl)),
     "dash_volume_by_sector": _q(lambda t: dashboard.volume_by_sector(t.sector_exposure)),

@@ -106,8 +106,7 @@ def incremental_tables(spark: SparkSession, enriched: DataFrame, ticks: DataFram
         return lambda ids: df.filter(F.lit(False)) if not ids else _union([_wave(df, i) for i in ids])
     for n in range(1, WAVES + 1):
         ids = list(range(n))
-        refresh_incremental(store, ids, reader(enriched), ids, reader(ticks),
-                            _union([_wave(enriched, i) for i in ids]), stamps=False)
+        refresh_incremental(store, ids, reader(enriched), ids, reader(ticks), stamps=False)
     return store
 
 

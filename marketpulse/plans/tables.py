@@ -78,24 +78,18 @@ class TableStore:
     def table_dir(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def versions(self, name: str) -> list[int]:
-        """Committed versions, ascending."""
-        d = self.table_dir(name)
-        fs = self._fs(d)
-        p = self._Path(d)
+    def committed(self, root: str, prefix: str) -> list[int]:
+        """The numbers n of the folders ``<root>/<prefix><n>`` whose write has committed, ascending."""
+        fs, p = self._fs(root), self._Path(root)
         if not fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if st.isDirectory() and n.startswith("v="):
-                try:
-                    v = int(n[2:])
-                except ValueError:
-                    continue
-                if fs.exists(self._Path(f"{d}/{n}/_SUCCESS")):
-                    out.append(v)
-        return sorted(out)
+        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+        numbers = [n[len(prefix):] for n in names if n.startswith(prefix)]
+        return sorted(int(n) for n in numbers if n.isdigit() and fs.exists(self._Path(f"{root}/{prefix}{n}/_SUCCESS")))
+
+    def versions(self, name: str) -> list[int]:
+        """Committed versions, ascending."""
+        return self.committed(self.table_dir(name), "v=")
 
     def current_path(self, name: str) -> str | None:
         vs = self.versions(name)
@@ -167,18 +161,21 @@ def _quoted(text: str) -> str:
     return text.replace("'", "\\'")
 
 
-def publish_folders(spark: SparkSession, folders: dict[str, list[str]]) -> list[str]:
-    """SNK-3 for stream tables: a view over the committed folders of each table.
-    Replacing a view is one catalog change."""
+def publish_folders(spark: SparkSession, folders: dict[str, list[str]], hide: str | None = None) -> list[str]:
+    """SNK-3 for stream tables: a view over the committed folders of each table, without
+    rows whose column ``hide`` is true. Replacing a view is one catalog change."""
     done = []
     for name, paths in folders.items():
         if not paths:
             continue
         info = REGISTRY[name]
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {info.layer}")
-        columns = [c for c in spark.read.parquet(paths[0]).columns if c != "batch_id"]
+        columns = [c for c in spark.read.parquet(paths[0]).columns if c not in ("batch_id", hide)]
         picked = ", ".join(f"`{c}`" for c in columns)
-        body = " UNION ALL ".join(f"SELECT {picked} FROM parquet.`{p}`" for p in paths)
+        only = f" WHERE NOT `{hide}`" if hide else ""
+        body = " UNION ALL ".join(f"SELECT {picked} FROM parquet.`{p}`{only}" for p in paths)
+        if spark.catalog.tableExists(f"{info.layer}.{name}") and spark.catalog.getTable(f"{info.layer}.{name}").tableType != "VIEW":
+            spark.sql(f"DROP TABLE {info.layer}.{name}")   # a full refresh stored it as a table
         spark.sql(f"CREATE OR REPLACE VIEW {info.layer}.{name} COMMENT '{_quoted(info.comment)}' "
                   f"TBLPROPERTIES ('quality' = '{info.layer}') AS {body}")
         done.append(f"{info.layer}.{name}")

@@ -82,11 +82,14 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_size")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    supp = lookup_join(supp, _region_of_nation(spark, sf_dir), "s_nationkey", "n_nationkey")
-    supp = supp.select("s_suppkey", "r_name", "n_name")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     t = lookup_join(li, orders, "l_orderkey", "o_orderkey")
     t = lookup_join(t, part, "l_partkey", "p_partkey")
+    # One table after the other: Spark knows a scanned table's size, but takes a joined one for their product.
     t = lookup_join(t, supp, "l_suppkey", "s_suppkey")
+    t = lookup_join(t, nation, "s_nationkey", "n_nationkey")
+    t = lookup_join(t, region, "n_regionkey", "r_regionkey")
 
     k = F.col("l_orderkey")
     hit = lambda m: (k % m) == 0

@@ -69,3 +69,22 @@ def test_mark_to_market_without_price(spark):
     a, b = got["AAA"], got["BBB"]
     assert a.market_value_usd == 125.0 and a.unrealized_pnl_usd == 25.0 and a.pnl_pct == 25.0
     assert b.last_price is None and b.market_value_usd is None and b.pnl_pct == 0.0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_prune_and_never_expand(spark):
+    """Lookups read only the columns a query uses; distinct counts do not multiply rows."""
+    from conftest import SF_SMALL
+    from marketpulse.plans.queries import QUERIES
+    for name in ("desk_pnl", "risk_exposure_by_sector", "counterparty_exposure"):
+        assert "Expand" not in _plan(QUERIES[name](spark, SF_SMALL)), name
+    trades = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").selectExpr(
+        "cast(l_orderkey as string) trade_id", "cast(l_partkey as string) ticker", "l_returnflag unused", "l_linestatus side",
+        "cast(l_quantity as int) quantity", "l_tax price", "l_shipdate event_time")
+    inst = spark.createDataFrame([("1", "One", "Tech")], "ticker string, company_name string, sector string")
+    out = silver.enrich_trades(trades, inst, None, None)
+    scan = [x for x in _plan(out.groupBy("sector").sum("quantity")).splitlines() if "lineitem" in x]
+    assert scan and all(c not in x for x in scan for c in ("l_returnflag", "l_linestatus", "l_tax", "l_shipdate"))
