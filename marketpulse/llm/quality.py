@@ -43,7 +43,7 @@ TOKENS = r"[0-9A-Za-z_\x{80}-\x{10FFFF}]++|[!-/:-@\[-^`{-~]++"
 def base_counts(src: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words to (doc_id, text)."""
     k = REPEAT_WINDOW
-    step1 = src.select("*", words(F.col("text")).alias("_w"))
+    step1 = src.select("*", words(F.col("text")).alias("_w")).select("*", F.transform("_w", lambda w: F.xxhash64(w)).alias("_x"))
     lines = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"),
                      lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     none = F.array().cast("array<bigint>")
@@ -54,12 +54,12 @@ def base_counts(src: DataFrame) -> DataFrame:
         lines.alias("_lines"),
         F.when(F.size("_w") > k, F.transform(
             F.sequence(F.lit(1), F.size("_w") - (k - 1)),
-            lambda i: F.xxhash64(F.slice("_w", i, k)))).otherwise(none).alias("_h"))
+            lambda i: F.xxhash64(*[F.get("_x", i + (j - 1)) for j in range(k)]))).otherwise(none).alias("_h"))
     # Only documents in which some window repeats pay for the sort.
     step3 = step2.select(
         "*", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.size(F.array_distinct("_h")) < F.size("_h"), F.array_sort(
-            F.transform("_h", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))).alias("_p")).drop("_lines", "_h", "_w")
+            F.transform("_h", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))).alias("_p")).drop("_lines", "_h", "_w", "_x")
 
     def again(x, i):
         return (F.get("_p", i - 1)["h"].eqNullSafe(x["h"])) | (F.get("_p", i + 1)["h"].eqNullSafe(x["h"]))
