@@ -41,6 +41,25 @@ def sha256_hex(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+#: Keys of dropped rows up to which they are broadcast (an id and hashes, about 100 bytes each).
+MAX_BROADCAST_KEYS = 500_000
+
+
+def drop_keyed(docs: DataFrame, keys: DataFrame, on: dict[str, Column], max_broadcast: int = MAX_BROADCAST_KEYS) -> DataFrame:
+    """The rows of ``docs`` whose values ``on`` (key column → expression) are in no row of ``keys``; NULLs are equal.
+
+    ``keys`` is a written table. Its rows are counted: a small one is broadcast, so that no text moves; a larger one is
+    joined by a shuffle."""
+    names = [f"_key{k}" for k in range(len(on))]
+    gone = keys.select(*[F.col(c).alias(n) for c, n in zip(on, names)])
+    if gone.limit(max_broadcast + 1).count() <= max_broadcast:
+        gone = F.broadcast(gone)
+    same = F.lit(True)
+    for n, value in zip(names, on.values()):
+        same = same & value.eqNullSafe(F.col(n))
+    return docs.join(gone, same, "left_anti")
+
+
 class Scratch:
     """Tables written to the cluster's shared checkpoint folder.
 

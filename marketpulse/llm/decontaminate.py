@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import Scratch, id_text, lower_ascii, sha256_hex
+from marketpulse.llm.common import Scratch, drop_keyed, id_text, lower_ascii, sha256_hex
 
 WINDOW = 10
 #: Distinct n-grams up to which the set is broadcast (about 100 bytes each).
@@ -87,7 +87,7 @@ def _judged(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, tex
     """``contamination`` with text_key, the hash that tells apart texts of one id."""
     src = id_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
     items = benchmark_grams(benchmark, window)
-    facts = items.agg(F.countDistinct("gram").alias("n"), F.collect_set("len").alias("lens")).first()
+    facts = items.agg(F.countDistinct("gram").alias("n"), F.count("*").alias("pairs"), F.collect_set("len").alias("lens")).first()
     out = src.select("doc_id", "text_key", F.size(item_words(F.col("text"))).cast("long").alias("n_words"))
     if facts["n"] == 0:
         found = out.select("doc_id", "text_key", F.lit(0).cast("long").alias("n_hit"),
@@ -101,8 +101,9 @@ def _judged(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, tex
             hits.groupBy("doc_id", "text_key", "gram").agg(F.collect_set(F.struct("pos", "len")).alias("at")), "hits")
         spans = per_gram.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("at")).alias("at"),
                                                            F.collect_list("gram").alias("grams"))
+        of = items.select("gram", "item_id")    # one gram may be in any number of items
         named = (spans.select("doc_id", "text_key", F.explode("grams").alias("gram"))
-                 .join(put(items.select("gram", "item_id")), "gram")
+                 .join(F.broadcast(of) if facts["pairs"] <= max_broadcast else of, "gram")
                  .groupBy("doc_id", "text_key")
                  .agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
         found = (spans.select("doc_id", "text_key", _covered(F.col("at")).alias("n_hit")).alias("s")
@@ -120,9 +121,17 @@ def _judged(docs: DataFrame, benchmark: DataFrame, window: int, id_col: str, tex
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without a benchmark window, whatever their id."""
-    dirty = (_judged(docs, benchmark, window, id_col, text_col).filter("contaminated")
-             .select(F.col("doc_id").alias("_dirty_id"), F.col("text_key").alias("_dirty_key")).distinct())
-    return docs.join(dirty, docs[id_col].eqNullSafe(F.col("_dirty_id"))
-                     & (F.xxhash64(docs[text_col]) == F.col("_dirty_key")), "left_anti")
+                      id_col: str = "doc_id", text_col: str = "text", max_broadcast: int = MAX_BROADCAST_GRAMS) -> DataFrame:
+    """The rows of ``docs`` without a benchmark window, whatever their id.
+
+    Only hits name rows to drop, by (id, text hash); clean texts meet no join but that with these keys."""
+    src = id_text(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+    items = benchmark_grams(benchmark, window)
+    facts = items.agg(F.countDistinct("gram").alias("n"), F.collect_set("len").alias("lens")).first()
+    if not facts["n"]:
+        return docs
+    grams = items.select("gram").distinct()
+    hits = _windows(src, sorted(facts["lens"]), CHUNK_WORDS).join(
+        F.broadcast(grams) if facts["n"] <= max_broadcast else grams, "gram")
+    dirty = Scratch(docs.sparkSession, "decontaminate").save(hits.select("doc_id", "text_key").distinct(), "dirty")
+    return drop_keyed(docs, dirty, {"doc_id": docs[id_col], "text_key": F.xxhash64(docs[text_col])})

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.llm.common import Scratch, id_text
+from marketpulse.llm.common import Scratch, drop_keyed, id_text
 from marketpulse.llm.components import component_roots
 
 SHINGLE = 3
@@ -57,17 +57,24 @@ def fingerprint(data: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
     return int(np.packbits(2 * count > n, bitorder="little").view(np.uint64)[0])
 
 
+def text_keys(text: Column) -> dict[str, Column]:
+    """128 bits that tell texts apart; NULL is not the empty text."""
+    return {f"key{k}": F.xxhash64(F.lit(k), text.isNull(), text) for k in (1, 2)}
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): one row per input row; fp is the fingerprint as a signed long."""
-    src = id_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
+    """(doc_id, key1, key2, fp): one row per input row; fp is the fingerprint as a signed long, the keys name the text."""
+    src = id_text(docs, id_col, text_col)
+    src = src.select("doc_id", *[c.alias(n) for n, c in text_keys(F.col("text")).items()], F.col("text").cast("binary").alias("text"))
+    names = ["doc_id", "key1", "key2", "fp"]
 
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            fp = np.array([fingerprint(t, shingle) for t in b.column(3).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(fp.view(np.int64))], names)
 
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, fp long")
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, key1 long, key2 long, fp long")
 
 
 # --- bit-sliced comparison ---------------------------------------------------
@@ -249,6 +256,14 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS, hot_bucket: int = HO
     return buckets.mapInArrow(partial(bucket_forest, radius=radius), "u long, v long")
 
 
+def _members(rows: DataFrame, scratch: Scratch, radius: int) -> DataFrame:
+    """(fp, first_id, n, root): each distinct fingerprint with its rows and its component."""
+    nodes = scratch.save(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "nodes")
+    roots = component_roots(fingerprint_links(nodes.select("fp"), radius), scratch)
+    return (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+            .select("fp", "first_id", "n", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id): one row per input row.
@@ -259,10 +274,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.save(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = scratch.save(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    roots = component_roots(fingerprint_links(nodes.select("fp"), radius), scratch)
-    member = (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
+    member = _members(rows, scratch, radius)
     lowest = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_fp = member.join(lowest, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select(
@@ -271,16 +283,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's id: one document of each group.
+    """The rows of ``docs`` that lead their group: exactly one of each group stays, NULL ids and repeated ids included.
 
-    A row without id cannot be named by a group and stays. Rows that repeat a
-    kept id inside its group are reduced to one.
+    Rows are told apart by (id, text): unlinked texts of one id both stay, and of copies without an id one does.
+    The leader has the smallest id (NULL last), then the smallest text hash; rows that repeat the leader's id and
+    text are reduced to one. Only the keys of rows to drop are joined with the texts.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle, radius)
     scratch = Scratch(docs.sparkSession, "simhash-kept")
-    keep = scratch.save(found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_kept_id"))
-                        .agg(F.count("*").alias("n")), "kept")
-    named = docs.join(keep.select("_kept_id"), docs[id_col] == F.col("_kept_id"), "left_semi")
-    if keep.filter("n > 1").limit(1).count():   # ids that repeat: leave one row of each
-        named = named.dropDuplicates([id_col])
-    return named.union(docs.filter(docs[id_col].isNull()))
+    rows = scratch.save(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    member = _members(rows, scratch, radius)
+    many = member.join(member.groupBy("root").agg(F.sum("n").alias("rows")).filter("rows > 1").select("root"), "root")
+    who = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key1", "key2")
+    linked = scratch.save(rows.join(many.select("fp", "root"), "fp").groupBy("root", who.alias("who"))
+                          .agg(F.count("*").alias("n")), "linked")
+    leads = linked.groupBy("root").agg(F.min("who").alias("lead"))
+    marked = linked.join(leads, "root").select("who.*", "n", (F.col("who") == F.col("lead")).alias("is_lead"))
+    marked = scratch.save(marked.drop("no_id"), "marked")
+    key = {"doc_id": docs[id_col], **text_keys(docs[text_col])}
+    kept = drop_keyed(docs, marked.filter("NOT is_lead"), key)
+    twice = marked.filter("is_lead AND n > 1").drop("n", "is_lead")
+    if twice.limit(1).count():   # the leader's row itself is repeated: leave one row of each
+        parts = [F.col(c) for c in docs.columns]
+        named = docs.select(*parts, *[value.alias(f"_lead_{c}") for c, value in key.items()])
+        same = F.lit(True)
+        for c in key:
+            same = same & F.col(f"_lead_{c}").eqNullSafe(twice[c])
+        ones = named.join(twice, same, "left_semi").dropDuplicates([f"_lead_{c}" for c in key]).select(*docs.columns)
+        kept = drop_keyed(kept, twice, key).union(ones)
+    return kept

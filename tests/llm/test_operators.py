@@ -450,3 +450,24 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, docs, items, labels):
     assert key([(r.doc_id, r.text) for r in text.collect()]) == key(want)
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF_SMALL).columns == docs.columns, name
+
+
+def test_near_duplicates_lose_no_row_by_its_id(spark, monkeypatch):
+    a, b, c = EDGE_TEXT, "other words entirely " * 9 + "end", "third text " * 20 + "stop"
+    rows = [(1, a, "x"), (2, a, "y"), (2, b, "z"), (None, c, "n"), (None, c, "m"), (None, a, "o"), (7, b, "p"), (5, None, "q"), (5, None, "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key1 string")
+    want = [(1, a), (2, b), (None, c), (5, None)]    # blank texts are linked too
+    for bound in (500_000, 0):                       # keys broadcast, keys shuffled
+        monkeypatch.setattr("marketpulse.llm.common.drop_keyed.__defaults__", (bound,))
+        got = [(r.doc_id, r.text) for r in drop_near_duplicates(df).collect()]
+        assert key(got) == key(want)
+    assert drop_near_duplicates(df.limit(0)).collect() == []
+
+
+def test_benchmark_gram_in_many_items(spark):
+    text = "one two three four five six seven eight nine ten"
+    items = spark.range(2000).select(F.col("id").alias("item_id"), F.lit(text).alias("text"))
+    df = spark.createDataFrame([(1, f"so {text} end"), (2, "clean")], "doc_id long, text string")
+    rows = [tuple(r) for r in contamination(df, items).collect()]
+    assert key(rows) == key([tuple(r) for r in contamination(df, items, max_broadcast=10).collect()])
+    assert {r[0]: r[3] for r in rows} == {1: 2000, 2: 0}
