@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 DROP = "drop"
@@ -90,9 +90,26 @@ def rule_report(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame
         F.col("r.failed_records").alias("failed_records"))
 
 
-def observe_rules(df: DataFrame, rules: Sequence[Rule], name: str) -> DataFrame:
-    """Streaming form: metrics per micro-batch land in ``lastProgress``."""
-    return df.observe(name, F.count(F.lit(1)).alias("rows"), *_fail_counts(rules))
+def observe_rules(df: DataFrame, rules: Sequence[Rule], observation: str | Observation) -> DataFrame:
+    """Rule counts of a job taken while its rows pass by: no second scan. On a stream they
+    land in ``lastProgress``, with an ``Observation`` in ``observed_report``."""
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"), *_fail_counts(rules))
+
+
+REPORT_SCHEMA = "dataset string, rule string, action string, passed_records bigint, failed_records bigint"
+
+
+def observed_report(spark: SparkSession, counts: dict, rules: Sequence[Rule], dataset: str) -> DataFrame:
+    """One observation's counts in the shape of ``rule_report`` (an empty batch counts zero)."""
+    n = counts.get("rows") or 0
+    failed = {r.name: counts.get(r.name) or 0 for r in rules}
+    return spark.createDataFrame([(dataset, r.name, r.action, n - failed[r.name], failed[r.name]) for r in rules], REPORT_SCHEMA)
+
+
+def merge_reports(reports: DataFrame) -> DataFrame:
+    """DQ-3 over any number of batches: counts summed per rule."""
+    return reports.groupBy("dataset", "rule", "action").agg(
+        F.sum("passed_records").alias("passed_records"), F.sum("failed_records").alias("failed_records"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -371,6 +371,7 @@ FROM ch"""),
     "scd2_history_tracked": with_ctes(SCD2_TRACKED, select="SELECT * FROM hist"),
     "scd2_current": with_ctes(SCD2_TRACKED, select="SELECT * FROM hist WHERE __END_AT IS NULL"),
     "stream_enriched_trades": with_ctes(*_T, select="SELECT * FROM enriched"),
+    "enriched_trades_scd2": with_ctes(*_T, select="SELECT * FROM enriched"),
     "stream_market_data": with_ctes(TICKS.replace("ts AS event_time",
                                                   "CAST(strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS TIMESTAMP) AS event_time"),
                                     select="""
@@ -429,3 +430,16 @@ SELECT ticker, desk, sector, position_side, net_quantity, avg_price, last_price,
                            AS DECIMAL(38,10)), 2) AS DOUBLE) AS price_change_pct,
        market_value_usd, unrealized_pnl_usd, pnl_pct FROM mtm"""),
 }
+
+ORACLE["live_dq_report"] = ORACLE["dq_report"]
+ORACLE["csv_reference"] = with_ctes(DIMS, select="""
+SELECT 'instruments' AS kind, 'PT-' || p_partkey AS id, p_name AS name, CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS amount,
+       CAST(0 AS BIGINT) AS empty_fields, TRUE AS stamped FROM part
+UNION ALL SELECT 'traders', trader_id, trader_name, CAST(risk_limit_usd AS DOUBLE), 1, TRUE FROM traders
+UNION ALL SELECT 'counterparties', counterparty_id, counterparty_name, NULL, 2, TRUE FROM counterparties""")
+ORACLE["lineage_columns"] = with_ctes(*_T, *_TICK, STATS, FLAGGED, DESK_PNL, select="""
+SELECT 'raw_trades' AS table_name, count(*) AS rows, count(*) AS with_file, count(*) AS stamped FROM raw_trades
+UNION ALL SELECT 'raw_market_data', count(*), count(*), count(*) FROM raw_ticks
+UNION ALL SELECT 'enriched_trades', count(*), 0, count(*) FROM enriched
+UNION ALL SELECT 'desk_pnl', count(*), 0, count(*) FROM desk_pnl
+UNION ALL SELECT 'trade_anomalies', count(*), 0, count(*) FROM anomalies""")

@@ -82,18 +82,24 @@ def refresh_reference(store: TableStore, instruments: DataFrame, trader_changes:
         lambda: put("scd2_counterparties", scd2.scd2_history(
             counterparty_changes, ["counterparty_id"], "updated_at", tie_break=tie_break,
             track=track.get("counterparties"))))
+    # Written last: a reload compares with these, so a crash before them repeats the load.
+    opened = _together(*[lambda kind=kind, history=history: put(open_table(kind), silver.current_rows(history))
+                         for kind, history in (("traders", traders), ("counterparties", cps))])
     if validate:
         _together(lambda: assert_unique(instruments, ["ticker"], "raw_instruments"),
-                  lambda: assert_unique(silver.current_rows(traders), ["trader_id"], "scd2_traders"),
-                  lambda: assert_unique(silver.current_rows(cps), ["counterparty_id"],
-                                        "scd2_counterparties"))
+                  lambda: assert_unique(opened[0], ["trader_id"], "scd2_traders"),
+                  lambda: assert_unique(opened[1], ["counterparty_id"], "scd2_counterparties"))
     return out
 
 
+def open_table(kind: str) -> str:
+    """The stored open versions of a history: lookups read these alone, however long the history grows."""
+    return f"_open_{kind}"
+
+
 def load_dims(store: TableStore) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(instruments, current traders, current counterparties) from the store."""
-    return (store.read("raw_instruments"), silver.current_rows(store.read("scd2_traders")),
-            silver.current_rows(store.read("scd2_counterparties")))
+    return store.read("raw_instruments"), store.read(open_table("traders")), store.read(open_table("counterparties"))
 
 
 def refresh_aggregates(store: TableStore, trades: DataFrame, ticks: DataFrame, *,

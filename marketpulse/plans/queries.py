@@ -198,7 +198,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_history_tracked": _q(lambda t: t.priority_history_tracked),
     "scd2_current": _q(lambda t: silver.current_rows(t.priority_history_tracked)),
     "stream_enriched_trades": _q(lambda t: stream_checks.stream_enriched_trades(
-        t.spark, t.sf_dir, TRADE_OUT, t.deduped, t.raw_trades)),
+        t.spark, t.sf_dir, TRADE_OUT, t.raw_trades)),
+    "csv_reference": _q(lambda t: stream_checks.csv_reference(t.spark, t.sf_dir)),
+    "lineage_columns": _q(lambda t: stream_checks.lineage_columns(t.spark, t.sf_dir, t.enriched)),
+    "live_dq_report": _q(lambda t: stream_checks.live_dq_report(t.spark, t.sf_dir, t.deduped)),
+    "enriched_trades_scd2": _q(lambda t: stream_checks.enriched_by_history(
+        t.spark, t.sf_dir, t.clean).select(*TRADE_OUT)),
     "stream_market_data": _q(lambda t: stream_checks.stream_market_data(t.spark, t.sf_dir, TICK_OUT)),
     "stream_scd2_history": _q(lambda t: stream_checks.stream_scd2_history(t.spark, t.sf_dir)),
     "stream_scd2_history_bucketed": _q(lambda t: stream_checks.stream_scd2_history(

@@ -9,16 +9,23 @@ the sink is read back. The result must equal the batch query's.
 from __future__ import annotations
 
 import uuid
+from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from ..schemas import TICK_RAW, TRADE_RAW
+from ..operators import gold
+from ..operators.silver import ARRIVAL, enrich_trades
+from ..schemas import REFERENCE_CSV, TICK_RAW, TRADE_RAW
 from ..session import scratch_path
 from ..sources import driver_tables as dt
-from ..sources.files import ticks_stream, trades_stream, write_json_lines
+from ..sources.files import bronze_stream, ticks_stream, trades_stream, write_json_lines
 from ..sources.changelog import change_log_stream
+from ..sources.reference import read_reference_csv
 from ..streaming.pipelines import start_scd2, start_ticks, start_trades
-from ..streaming.sinks import read_batch_dirs
+from ..streaming.live import LivePaths, dq_report
+from ..streaming.sinks import append_file_sink, read_batch_dirs
+from .pipeline import driver_inputs, load_dims, refresh_reference
 from .tables import TableStore
 
 TRADE_RAW_COLS = [f.name for f in TRADE_RAW.fields]
@@ -35,22 +42,73 @@ def _run(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def stream_enriched_trades(spark: SparkSession, sf_dir: str, trade_out: list[str],
-                           deduped: DataFrame, raw: DataFrame) -> DataFrame:
-    """Wave 0 lands the first copy of every trade; after a restart wave 1
-    lands every copy again. The stream's dedup state must drop all of wave 1
-    (also copies whose payload differs), so the sink equals the batch table."""
+def stream_enriched_trades(spark: SparkSession, sf_dir: str, trade_out: list[str], raw: DataFrame) -> DataFrame:
+    """Landing files → bronze → silver, as deployed. Every raw copy is landed once, in arrival order: wave n
+    holds the n-th copy of each trade. Both streams are restarted between waves, and the dedup state must let
+    exactly the first copies through (later ones have other payloads), so the sink equals the batch table."""
     base = _base(spark, "stream-trades")
-    landing, sink, ck = f"{base}/landing", f"{base}/sink", f"{base}/checkpoint"
+    landing, bronze, sink, ck = (f"{base}/{d}" for d in ("landing", "bronze", "sink", "checkpoint"))
     dims = lambda: (dt.instruments(spark, sf_dir), dt.traders(spark, sf_dir),
                     dt.counterparties(spark, sf_dir))
-    write_json_lines(deduped.select(*TRADE_RAW_COLS), landing, mode="overwrite")
-    _run(start_trades(trades_stream(spark, landing), sink, ck, dims, processed_at=False))
-    write_json_lines(raw.select(*TRADE_RAW_COLS), landing, mode="append")
-    _run(start_trades(trades_stream(spark, landing), sink, ck, dims, processed_at=False))
+    rest = [c for c in raw.columns if c not in ("trade_id", ARRIVAL)]
+    arrival = Window.partitionBy("trade_id").orderBy(*[F.col(c).asc_nulls_first() for c in [ARRIVAL, *rest]])
+    copies = raw.withColumn("copy", F.least(F.row_number().over(arrival), F.lit(2)))
+    ranked = f"{base}/ranked"
+    copies.select(*TRADE_RAW_COLS, "copy").write.partitionBy("copy").parquet(ranked)
+    for n in (1, 2):
+        write_json_lines(spark.read.parquet(ranked).filter(F.col("copy") == n).drop("copy"), landing, mode="append")
+        _run(append_file_sink(trades_stream(spark, landing), bronze, f"{ck}/bronze"))
+        _run(start_trades(bronze_stream(spark, bronze, TRADE_RAW), sink, f"{ck}/silver", dims, processed_at=False))
     return read_batch_dirs(spark, sink).select(*trade_out)
 
 
+def live_dq_report(spark: SparkSession, sf_dir: str, deduped: DataFrame) -> DataFrame:
+    """Kept rule counts of several runs, one of them replayed: the last commit of the first run is taken back, as a
+    crash before it would leave it, so the second run repeats that micro-batch before its own."""
+    paths = LivePaths(_base(spark, "live-rules"))
+    landing = {k: f"{paths.root}/landing/{k}" for k in ("trades", "ticks")}
+    dims = lambda: (dt.instruments(spark, sf_dir), dt.traders(spark, sf_dir),
+                    dt.counterparties(spark, sf_dir))
+    trades, ticks = deduped.select(*TRADE_RAW_COLS), dt.raw_ticks(spark, sf_dir).select(*TICK_RAW_COLS)
+    for n in range(2):
+        half = lambda df, c: df.filter(F.pmod(F.xxhash64(c), F.lit(2)) == n)  # noqa: B023, E731
+        write_json_lines(half(trades, "trade_id"), landing["trades"], mode="append")
+        write_json_lines(half(ticks, "tick_id"), landing["ticks"], mode="append")
+        _run(start_trades(trades_stream(spark, landing["trades"]), paths.sink("enriched_trades"), paths.checkpoint("trades"),
+                          dims, processed_at=False, rule_counts=paths.rules("enriched_trades")))
+        _run(start_ticks(ticks_stream(spark, landing["ticks"]), paths.sink("enriched_market_data"), paths.checkpoint("ticks"),
+                         per_batch=True, rule_counts=paths.rules("enriched_market_data")))
+        if n == 0:
+            for kind in ("trades", "ticks"):
+                _take_back_commit(spark, paths.checkpoint(kind))
+    return dq_report(spark, paths)
+
+
+def _take_back_commit(spark: SparkSession, checkpoint: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    last = max(int(st.getPath().getName()) for st in fs.listStatus(path) if st.getPath().getName().isdigit())
+    for name in (str(last), f".{last}.crc"):
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/{name}")
+        if fs.exists(p):
+            fs.delete(p, False)
+
+
+def enriched_by_history(spark: SparkSession, sf_dir: str, clean: DataFrame) -> DataFrame:
+    """Trades looked up in histories with several versions a key: each trader and counterparty had another name
+    and place before. Lookups must read the stored open versions only."""
+    store = TableStore(spark, _base(spark, "history") + "/tables")
+    inputs = driver_inputs(spark, sf_dir)
+
+    def versions(now: DataFrame, *renamed: str) -> DataFrame:
+        old = now.withColumns({c: F.concat(F.lit("former "), c) for c in renamed})
+        before = [old.withColumn("updated_at", F.col("updated_at") - F.make_dt_interval(days=F.lit(d))) for d in (400, 30)]
+        return now.unionByName(before[0].withColumn(renamed[0], F.lit("first"))).unionByName(before[1])
+    refresh_reference(store, inputs.instruments, versions(inputs.trader_changes, "trader_name", "desk_full_name"),
+                      versions(inputs.counterparty_changes, "counterparty_name", "country"))
+    return enrich_trades(clean, *load_dims(store))
+
+
 def stream_market_data(spark: SparkSession, sf_dir: str, tick_out: list[str]) -> DataFrame:
     """Ticks go through the text time format (millisecond precision)."""
     base = _base(spark, "stream-ticks")
@@ -87,14 +145,12 @@ WAVES = 3
 
 
 def _wave(df: DataFrame, i: int) -> DataFrame:
-    from pyspark.sql import functions as F
     key = "trade_id" if "trade_id" in df.columns else "tick_id"
     return df.filter(F.pmod(F.xxhash64(key), F.lit(WAVES)) == i)
 
 
 def incremental_tables(spark: SparkSession, enriched: DataFrame, ticks: DataFrame) -> TableStore:
     """Fold the waves into the incremental aggregates one refresh at a time."""
-    from pyspark.sql import functions as F
     from .incremental import refresh_incremental
     store = TableStore(spark, _base(spark, "incremental") + "/tables")
     # silver is stored before the aggregates read it, as in the live pipeline
@@ -120,7 +176,6 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
 def stream_dedup_within(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """Bounded dedup over two waves: every trade id once, first copies with old
     and future event times included, copies of the second wave dropped."""
-    from pyspark.sql import functions as F
     from ..operators.dedup import dedup_stream
     from ..functions.timefmt import with_event_time
     from ..streaming.sinks import batch_dir_writer, trigger_args
@@ -138,7 +193,6 @@ def stream_dedup_within(spark: SparkSession, raw: DataFrame) -> DataFrame:
 def live_tables(spark: SparkSession, enriched: DataFrame, ticks: DataFrame) -> TableStore:
     """The deployed refresh over committed micro-batches: both kinds, then only
     ticks, then only trades, each run compacted before the next."""
-    from pyspark.sql import functions as F
     from ..streaming.live import LivePaths, compact_silver, refresh_gold
     paths = LivePaths(_base(spark, "live"))
     store = TableStore(spark, f"{paths.root}/stored")
@@ -159,3 +213,48 @@ def live_tables(spark: SparkSession, enriched: DataFrame, ticks: DataFrame) -> T
     table = out.read("mark_to_market_pnl").drop("calculated_at")
     out.write("mark_to_market_pnl", table)
     return out
+
+
+def csv_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-4: instruments written as seed CSV files and read back typed, and the empty fields that must read as NULL."""
+    base = _base(spark, "seed")
+    kinds = {"instruments": dt.instruments, "traders": dt.traders, "counterparties": dt.counterparties}
+    read = {}
+    for kind, make in kinds.items():
+        make(spark, sf_dir).select(*REFERENCE_CSV[kind].fieldNames()).write.option("header", True).csv(f"{base}/{kind}")
+        read[kind] = read_reference_csv(spark, f"{base}/{kind}", kind)
+    key = {"instruments": "ticker", "traders": "trader_id", "counterparties": "counterparty_id"}
+    name = {"instruments": "company_name", "traders": "trader_name", "counterparties": "counterparty_name"}
+    amount = {"instruments": F.col("base_price"), "traders": F.col("risk_limit_usd"), "counterparties": F.lit(None)}
+    missing = {"instruments": F.lit(0), "traders": F.col("manager").isNull().cast("int"),
+               "counterparties": F.col("lei_code").isNull().cast("int") + F.col("city").isNull().cast("int")}
+    return _union([df.select(F.lit(k).alias("kind"), F.col(key[k]).alias("id"), F.col(name[k]).alias("name"),
+                             amount[k].cast("double").alias("amount"), missing[k].cast("bigint").alias("empty_fields"),
+                             F.col("_ingested_at").isNotNull().alias("stamped")) for k, df in read.items()])
+
+
+def lineage_columns(spark: SparkSession, sf_dir: str, enriched: DataFrame) -> DataFrame:
+    """SRC-7 and PRJ-17: (table_name, rows, with_file, stamped): how many rows name a landing file, and how many
+    carry a stamp from the time of this run. Tables without a file column count none."""
+    base = _base(spark, "lineage")
+    store = TableStore(spark, f"{base}/tables")
+    start = datetime.now(UTC).replace(tzinfo=None) - timedelta(seconds=1)
+    for kind, raw, cols, stream in (("raw_trades", dt.raw_trades, TRADE_RAW_COLS, trades_stream),
+                                    ("raw_market_data", dt.raw_ticks, TICK_RAW_COLS, ticks_stream)):
+        write_json_lines(raw(spark, sf_dir).select(*cols), f"{base}/landing/{kind}")
+        _run(append_file_sink(stream(spark, f"{base}/landing/{kind}"), f"{base}/{kind}", f"{base}/checkpoint/{kind}"))
+    store.write("enriched_trades", enriched.withColumn("processed_at", F.current_timestamp()))
+    trades = store.read("enriched_trades")
+    store.write("desk_pnl", gold.desk_pnl(trades, calculated_at=True))
+    store.write("trade_anomalies", gold.trade_anomalies(trades, detected_at=True))
+    end = datetime.now(UTC).replace(tzinfo=None) + timedelta(seconds=1)
+    tables = [(k, spark.read.parquet(f"{base}/{k}"), "_ingested_at") for k in ("raw_trades", "raw_market_data")]
+    tables += [(k, store.read(k), c) for k, c in (("enriched_trades", "processed_at"), ("desk_pnl", "calculated_at"),
+                                                  ("trade_anomalies", "detected_at"))]
+
+    def counted(name: str, df: DataFrame, stamp: str) -> DataFrame:
+        inside = F.col(stamp).cast("timestamp_ntz").between(F.lit(start), F.lit(end))
+        landed = F.col("_source_file").contains(f"/landing/{name}/") if "_source_file" in df.columns else F.lit(False)
+        return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(landed).alias("with_file"), F.count_if(inside).alias("stamped")
+                      ).select(F.lit(name).alias("table_name"), "rows", "with_file", "stamped")
+    return _union([counted(*t) for t in tables])

@@ -86,3 +86,16 @@ def test_scale_conf():
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     small = scale_conf(10 * 2 ** 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_command_line_reads_a_database_and_sizes_the_session(monkeypatch):
+    import marketpulse.__main__ as cli
+    seen = {}
+    monkeypatch.setattr(cli, "get_session", lambda master, extra=None: seen.setdefault("conf", extra))
+    monkeypatch.setattr(cli, "read_reference_jdbc", lambda spark, url, table, **o: seen.setdefault("reads", []).append((url, table, o)))
+    monkeypatch.setattr(cli, "load_reference", lambda spark, paths, ref: None)
+    monkeypatch.setattr(cli, "run_pipeline", lambda *args, **kw: None)
+    cli.main(["--root", "o", "--trades", "t", "--ticks", "k", "--reference-jdbc", "jdbc:x", "--jdbc-option", "user=u",
+              "--input-bytes", str(100 * 2 ** 40), "--cores", "8000"])
+    assert seen["conf"]["spark.sql.shuffle.partitions"] == "409600"
+    assert seen["reads"] == [("jdbc:x", f"source.{k}", {"user": "u"}) for k in ("instruments", "traders", "counterparties")]

@@ -3,7 +3,6 @@ import random
 from pyspark.sql import functions as F
 
 from marketpulse.operators.scd2 import current, scd2_history
-from marketpulse.plans.ordered import with_neighbors
 
 
 def _hist(df, **kw):
@@ -51,28 +50,37 @@ def test_history_properties_and_input_order(spark):
     assert current(a).count() == len(by_key)
 
 
-def test_neighbors_match_brute_force_with_hot_key(spark):
-    rnd = random.Random(3)
-    rows = [("HOT", i, rnd.randint(0, 9)) for i in range(3000)]            # a third and more
-    rows += [(f"k{rnd.randint(0, 300)}", rnd.randint(0, 10**6), rnd.randint(0, 9)) for _ in range(3000)]
-    rows = list({(k, s): (k, s, v) for k, s, v in rows}.values())
-    df = spark.createDataFrame(rows, "k string, s int, v int")
-    got = with_neighbors(df, ["k"], ["s"], ["s", "v"], partitions=16)
-    got = {(r.k, r.s): (r["__prev"] and (r["__prev"].s, r["__prev"].v),
-                        r["__next"] and (r["__next"].s, r["__next"].v))
-           for r in got.collect()}
-    want = {}
-    by_key = {}
-    for k, s, v in rows:
-        by_key.setdefault(k, []).append((s, v))
-    for k, vs in by_key.items():
-        vs.sort()
-        for i, (s, v) in enumerate(vs):
-            want[(k, s)] = (vs[i - 1] if i else None, vs[i + 1] if i + 1 < len(vs) else None)
-    assert got == want
+def _brute(rows, tracked=True):
+    """(key, value, start, end) by walking each key's changes in order."""
+    out, by_key = [], {}
+    for k, v, s in rows:
+        by_key.setdefault(k, {})[s] = max(v, by_key.get(k, {}).get(s, v), key=lambda x: (x is not None, x))
+    for k, changes in by_key.items():
+        at = sorted(changes)
+        starts = [s for i, s in enumerate(at) if not tracked or not i or changes[s] != changes[at[i - 1]]]
+        out += [(k, changes[s], s, e) for s, e in zip(starts, [*starts[1:], None])]
+    return sorted(out, key=str)
 
 
-def test_hot_key_is_cut_into_pieces(spark):
-    df = spark.range(0, 5000, numPartitions=4).select(F.lit("HOT").alias("k"), F.col("id").alias("s"))
-    ranged = df.repartitionByRange(8, "k", "s").select(F.spark_partition_id().alias("p")).distinct()
-    assert ranged.count() > 1
+def test_hot_key_over_many_slices_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr("marketpulse.operators.scd2.NUMERIC_SLICE", 7)
+    rnd = random.Random(3)
+    rows = [("HOT", rnd.choice(["a", "b", None]), i) for i in range(0, 3000, 2)]           # a third and more
+    rows += [("CALM", "x", i) for i in range(500)] + [("LATE", "x", 900), ("LATE", "y", 5)]
+    rows += [(f"k{rnd.randint(0, 300)}", rnd.choice(["a", "b"]), rnd.randint(0, 10**4)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v string, seq int")
+    assert _hist(df, tie_break=["v"], track=["v"]) == _brute(rows)
+    assert _hist(df, tie_break=["v"]) == _brute(rows, tracked=False)
+
+
+def test_history_leaves_nothing_behind(spark):
+    """Rows meet one shuffle by (key, slice) after the fold; no checkpoint is written."""
+    import os
+    folder = spark.conf.get("spark.checkpoint.dir")
+    size = lambda: sum(len(f) for _, _, f in os.walk(folder))
+    before = size()
+    df = spark.createDataFrame([("A", "x", 1), ("A", "y", 2)], "k string, v string, seq int")
+    h = scd2_history(df, ["k"], "seq", track=["v"])
+    assert h.count() == 2 and size() == before
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Join" not in plan
