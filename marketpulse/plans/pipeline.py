@@ -83,7 +83,8 @@ def refresh_reference(store: TableStore, instruments: DataFrame, trader_changes:
             counterparty_changes, ["counterparty_id"], "updated_at", tie_break=tie_break,
             track=track.get("counterparties"))))
     # Written last: a reload compares with these, so a crash before them repeats the load.
-    opened = _together(*[lambda kind=kind, history=history: put(open_table(kind), silver.current_rows(history))
+    internal = _putter(store, {})
+    opened = _together(*[lambda kind=kind, history=history: internal(open_table(kind), silver.current_rows(history))
                          for kind, history in (("traders", traders), ("counterparties", cps))])
     if validate:
         _together(lambda: assert_unique(instruments, ["ticker"], "raw_instruments"),
