@@ -49,7 +49,8 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 CHATS = r"""
 WITH c AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS l
-           FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations) GROUP BY conv_id),
+           FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL) GROUP BY conv_id
+           UNION ALL SELECT conv_id, [{'r': role, 't': text}] FROM conversations WHERE conv_id IS NULL),
 prefixes AS (SELECT DISTINCT l[1:k] AS l FROM c, unnest(range(1, len(l))) t(k)),
 lead AS (SELECT l, min(conv_id) AS conv_id FROM c GROUP BY l)
 SELECT conv_id, CAST(len(l) AS BIGINT) AS n_turns,

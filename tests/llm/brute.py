@@ -178,16 +178,16 @@ def op4(docs):
 
 def op8(rows):
     talks = {}
-    for conv, turn, role, text in set(rows):
-        talks.setdefault(conv, []).append((turn, role, text))
+    for conv, turn, role, text in set(rows):   # a row without an id stands alone
+        talks.setdefault((conv, None if conv is not None else (turn, role, text)), []).append((turn, role, text))
     low = lambda x: (x is not None, x if x is not None else 0)
     txt = lambda x: (x is not None, x or "")
     talks = {c: tuple((r, t) for _, r, t in sorted(v, key=lambda x: (low(x[0]), txt(x[1]), txt(x[2]))))
              for c, v in talks.items()}
     prefixes = {v[:k] for v in talks.values() for k in range(1, len(v))}
     seen, kept = set(), []
-    for conv in sorted(talks, key=low):
-        v = talks[conv]
+    for conv, alone in sorted(talks, key=lambda c: (c[0] is None, c[0] or 0)):
+        v = talks[conv, alone]
         if v not in prefixes and v not in seen:
             seen.add(v)
             kept.append((conv, len(v)))

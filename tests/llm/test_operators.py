@@ -277,7 +277,7 @@ def test_snapshots_collapse(spark):
     talk = [("user", "hi"), ("assistant", "hello"), ("user", "how"), ("assistant", "so")]
     rows = [(c, i, r, t) for c, n in ((1, 2), (2, 4), (3, 4), (4, 1), (5, 3)) for i, (r, t) in enumerate(talk[:n])]
     rows += [(6, 0, "user", None), (7, 0, "user", ""), (8, 0, None, "hi"), (9, 5, "user", "hi"), (9, 9, "assistant", "other"),
-             (None, 0, "user", "alone"), (10, 1, "b", "x"), (10, 1, "a", "y"), (2, 0, "user", "hi")]
+             (None, 0, "user", "alone"), (None, 1, "user", "apart"), (None, 2, "user", "alone"), (None, 0, "user", "hi"), (10, 1, "b", "x"), (10, 1, "a", "y"), (2, 0, "user", "hi")]
     df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
     got = format_chats(df)
     assert key(got.select("conv_id", "n_turns").collect()) == key(brute.op8(rows))
@@ -289,6 +289,17 @@ def test_snapshots_collapse(spark):
     assert key(format_chats(given).select("conv_id", "n_turns").collect()) == key(want)
 
 
+def test_long_conversations_spread_over_parts(spark):
+    """20,000 turns, all their snapshots of a few lengths, a repeated row at each place and rows without an id."""
+    from marketpulse.llm.chat import format_chats
+    turn = lambda c, i: (c, i // 3, "user" if i % 2 else None, f"text {i} " + "x" * 100)
+    rows = [turn(c, i) for c, n in ((7, 20000), (3, 20000), (5, 19999), (2, 12345), (9, 1)) for i in range(n)]
+    rows += [turn(7, i) for i in range(0, 20000, 7)] + [turn(8, i) for i in range(1, 300)]
+    rows += [(None, 0, "user", f"alone {i % 500}") for i in range(5000)]
+    got = format_chats(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    assert key(got.select("conv_id", "n_turns").collect()) == key(brute.op8(rows))
+
+
 # --- op9 ----------------------------------------------------------------------
 
 def test_toxicity_scores(spark, docs, labels, edge_docs):
