@@ -186,13 +186,20 @@ def _count_runs(batches):
             ["run", "toxic", "fold", "n"])
 
 
+#: Letters of a stretch of a word.
+STRETCH = 256
+
+
 def _backoffs(types: DataFrame, counted: DataFrame, scratch: Scratch) -> DataFrame:
     """(run, p): the shared probability of the last letter of each trigram of the word types, for the trigrams
     whose other letters end what stands before a letter of ``counted``; counts, totals and kinds are of all trigrams."""
     marked = F.concat(F.lit("\u0002" * (SHARED_ORDER - 1)), F.col("word"), F.lit("\u0003"))
-    rows = scratch.save(types.select(F.explode(F.transform(
-        F.sequence(F.lit(1), F.char_length("word") + 1),
-        lambda i: F.substring(marked, i, F.lit(SHARED_ORDER)))).alias("run")).groupBy("run").agg(F.count("*").alias("n"))
+    # Long words are cut once into stretches that overlap by all but a letter of a run.
+    stretch = rf"(?s)(?=(.{{1,{STRETCH + SHARED_ORDER - 1}}})).{{1,{STRETCH}}}"
+    cut = types.select(F.explode(F.regexp_extract_all(marked, F.lit(stretch), F.lit(1))).alias("cut"))
+    starts = F.sequence(F.lit(1), F.char_length("cut") - (SHARED_ORDER - 1))
+    rows = scratch.save(cut.filter(F.char_length("cut") >= SHARED_ORDER).select(F.explode(F.transform(
+        starts, lambda i: F.substring("cut", i, F.lit(SHARED_ORDER)))).alias("run")).groupBy("run").agg(F.count("*").alias("n"))
         .select("run", "n", F.substring("run", 1, SHARED_ORDER - 1).alias("h"), F.substring("run", SHARED_ORDER, 1).alias("last")),
         "trigrams")
     every = rows.count()
