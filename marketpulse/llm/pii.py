@@ -9,7 +9,9 @@ before it. Base kinds (email, ip, card, phone) stay at any score once their
 check passes; the added kinds (iban, ssn) stay from ``KEEP_SCORE`` on.
 
 Edge cases: NULL is an empty text, without spans; repeated rows give the same
-spans; an empty table gives an empty result. Patterns start only where a run of
+spans; an empty table gives an empty result. Positions are running sums taken block
+by block and texts are cut into pieces once, so work follows the text's length however
+many matches it has. Patterns start only where a run of
 their characters starts and never give back what they took, so a text that is
 one long run costs one pass. IBANs are the exception: each head (two letters, two
 digits) where a word starts proposes the text from there, whatever other heads
@@ -33,6 +35,51 @@ CONTEXT_BONUS = 0.25
 SPAN = "struct<start:int,rank:int,end:int,kind:string,score:double>"
 
 
+#: Elements of a block of a running sum, and characters of a piece of text.
+BLOCK = 64
+PIECE = 256
+MATCH = "struct<start:int,end:int,m:string>"
+
+
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(items: Column, zero: Column, step, emit, kind: str) -> Column:
+    """Array of ``emit(state, x)`` for each x of ``items``; ``step(state, x)`` is the state before the next one.
+
+    An array that grows by one element is copied each time, so only blocks of ``BLOCK`` elements and the list of the
+    blocks' first states grow that way."""
+    def blocks(xs):
+        starts = F.when(F.size(xs) > 0, F.sequence(F.lit(1), F.size(xs), F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.slice(xs, i, F.lit(BLOCK)))
+
+    def states(bs):
+        start = F.struct(zero.alias("at"), F.array().cast("array<int>").alias("all"))
+        return F.aggregate(bs, start, lambda a, b: F.struct(
+            F.aggregate(b, a["at"], step).alias("at"), F.concat(a["all"], F.array(a["at"])).alias("all")), lambda a: a["all"])
+
+    def block(z):
+        start = F.struct(z["state"].alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+        return F.aggregate(z["xs"], start, lambda a, x: F.struct(
+            step(a["at"], x).alias("at"), F.concat(a["out"], F.array(emit(a["at"], x).cast(kind))).alias("out")), lambda a: a["out"])
+    return bound(items, lambda xs: bound(blocks(xs), lambda bs: F.flatten(
+        F.transform(F.arrays_zip(bs.alias("xs"), states(bs).alias("state")), block))))
+
+
+def pieces(text: Column) -> Column:
+    """The text as an array of strings of ``PIECE`` characters, the last one shorter."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def cut(text_pieces: Column, start: Column, length: Column) -> Column:
+    """``length`` characters from ``start`` (from 0), without a walk from the start of the text."""
+    first = F.floor(start / PIECE).cast("int")
+    n = F.floor((start + length) / PIECE).cast("int") - first + 1
+    return F.substring(F.array_join(F.slice(text_pieces, first + 1, n), ""), start - first * PIECE + 1, length)
+
+
 def _digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
 
@@ -126,44 +173,40 @@ def _proposals(text: Column, kind: Kind) -> Column:
     """Array of (start, end, m) of the kind's matches, leftmost first and, but for kinds with a head, apart."""
     gaps = F.split(text, kind.pattern, -1)
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if kind.head else 0))
+    begin = lambda at, x: at + F.char_length(x["gap"])
+    end = lambda at, x: begin(at, x) + F.char_length(F.coalesce(x["m"], F.lit("")))
+    after = (lambda at, x: begin(at, x) + kind.head) if kind.head else end
+    here = lambda at, x: F.struct(begin(at, x).alias("start"), end(at, x).alias("end"), x["m"].alias("m"))
     # m is NULL in the last pair: there is one gap more than there are matches.
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,m:string>>").alias("out"))
-
-    def step(a, x):
-        begin = a["at"] + F.char_length(x["gap"])
-        end = begin + F.char_length(F.coalesce(x["m"], F.lit("")))
-        here = F.array(F.struct(begin.alias("start"), end.alias("end"), x["m"].alias("m")))
-        after = begin + kind.head if kind.head else end
-        return F.struct(after.alias("at"), F.when(x["m"].isNull(), a["out"]).otherwise(F.concat(a["out"], here)).alias("out"))
-    pairs = F.arrays_zip(gaps.alias("gap"), found.alias("m"))
-    return F.aggregate(pairs, start, step, lambda a: a["out"])
+    return F.filter(running(F.arrays_zip(gaps.alias("gap"), found.alias("m")), F.lit(0), after, here, MATCH),
+                    lambda x: x["m"].isNotNull())
 
 
 def _parts(proposals: Column, kind: Kind) -> Column:
     """The confirmed parts of proposals that may overlap, leftmost first and apart."""
-    def cut(x):
+    def confirmed(x):
         part = kind.part(x["m"])
         return F.struct(x["start"].alias("start"), (x["start"] + F.char_length(part)).alias("end"), part.alias("m"))
 
-    def step(a, x):
-        free = x["start"] >= F.coalesce(F.get(a, F.size(a) - 1)["end"], F.lit(0))
-        return F.when(free, F.concat(a, F.array(x))).otherwise(a)
-    none = F.array().cast("array<struct<start:int,end:int,m:string>>")
-    return F.aggregate(F.filter(F.transform(proposals, cut), lambda x: kind.check(x["m"])), none, step)
+    right = F.filter(F.transform(proposals, confirmed), lambda x: kind.check(x["m"]))
+    step = lambda at, x: F.when(x["start"] >= at, x["end"]).otherwise(at)
+    return F.filter(running(right, F.lit(0), step, lambda at, x: F.when(x["start"] >= at, x), MATCH), lambda x: x.isNotNull())
 
 
 def find_spans(src: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``spans``, an array of (start, rank, end, kind, score) in order."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    none = F.array().cast("array<struct<start:int,end:int,m:string>>")
+    none = F.array().cast(f"array<{MATCH}>")
     lists = [F.when(text.contains(k.hint) if k.hint == "@" else text.rlike(k.hint), _proposals(text, k))
              .otherwise(none).alias(f"_p{r}") for r, k in enumerate(KINDS)]
-    step = src.select("*", *lists)
+    some = F.lit(False)
+    for r in range(len(KINDS)):
+        some = some | (F.size(f"_p{r}") > 0)
+    step = src.select("*", *lists).select("*", F.when(some, pieces(text)).alias("_pieces"))
 
     def spans(rank: int, kind: Kind) -> Column:
         def scored(x):
-            before = F.substring(text, F.greatest(x["start"] - CONTEXT_CHARS, F.lit(0)) + 1,
-                                 F.least(x["start"], F.lit(CONTEXT_CHARS)))
+            before = cut(F.col("_pieces"), F.greatest(x["start"] - CONTEXT_CHARS, F.lit(0)), F.least(x["start"], F.lit(CONTEXT_CHARS)))
             bonus = F.when(F.lower(before).rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
             return F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"),
                             F.lit(kind.name).alias("kind"), (F.lit(kind.score) + bonus).alias("score"))
@@ -172,7 +215,7 @@ def find_spans(src: DataFrame, text_col: str = "text") -> DataFrame:
         good = F.transform(right, scored)
         return good if kind.base else F.filter(good, lambda s: s["score"] >= KEEP_SCORE)
     return (step.select("*", F.array_sort(F.concat(*[spans(r, k) for r, k in enumerate(KINDS)])).cast(f"array<{SPAN}>").alias("spans"))
-            .drop(*[f"_p{r}" for r in range(len(KINDS))]))
+            .drop("_pieces", *[f"_p{r}" for r in range(len(KINDS))]))
 
 
 def _joined(spans: Column) -> Column:
@@ -195,15 +238,13 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def masked(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced by its kind in brackets; overlapping spans leave one mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(a, s):
-        piece = F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]),
-                         F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        apart = s["start"] >= a["at"]
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(apart, piece).otherwise(a["out"]).alias("out"))
-    return F.aggregate(spans, start, step,
-                       lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))))
+    def marked(of):
+        mark = lambda at, s: F.when(s["start"] >= at, F.concat(
+            cut(of, at, s["start"] - at), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
+        end = F.coalesce(F.array_max(F.transform(spans, lambda s: s["end"])), F.lit(0))
+        return F.concat(F.array_join(running(spans, F.lit(0), lambda at, s: F.greatest(at, s["end"]), mark, "string"), ""),
+                        cut(of, end, F.char_length(text) - end))
+    return bound(pieces(text), marked)
 
 
 def mask_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -237,6 +237,22 @@ def test_spans_and_masks(spark):
     assert clean[7] == "é" * 30 + " [EMAIL]" and clean[11] is None and clean[8] == rows[7][1]
 
 
+def test_texts_with_many_matches(spark):
+    """Work follows the length of a text with tens of thousands of matches; positions are of code points."""
+    import time
+    iban = "GB82WEST12345698765432"
+    texts = [", ".join(str(10000 + i) for i in range(40000)), "é𝄞 ".join(f"u{i}@x.org" for i in range(16000)), f"{iban}, " * 3000,
+             "card 4111 1111 1111 1111; 10.0.0.1 +1 555 123 4567 " * 2000]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    began = time.time()
+    check(personal_data(df).drop("spans", "scores"), brute.op4(rows))
+    clean = {r.doc_id: r.text for r in mask_personal_data(df).collect()}
+    assert time.time() - began < 60
+    assert clean[0] == texts[0] and clean[1] == "é𝄞 ".join(["[EMAIL]"] * 16000) and clean[2] == "[IBAN], " * 3000
+    assert clean[3] == "card [CARD]; [IP] [PHONE] " * 2000
+
+
 def test_ibans_before_other_upper_case_words(spark):
     def iban(country, rest):
         number = int("".join(str(int(c, 36)) for c in rest + country + "00"))
@@ -379,6 +395,31 @@ def test_rare_letter_runs_keep_their_counts(spark):
             assert abs(models.ratio(w) - ratio(w)) < 1e-9, w
 
 
+def test_long_words_give_all_their_trigrams(spark, tmp_path):
+    import time
+    from collections import Counter
+    from marketpulse.llm.common import Scratch
+    from marketpulse.llm.toxicity import DISCOUNT, SHARED_ORDER, STRETCH, _backoffs
+    words = [("ab" * k + "c" * 3)[:n] for k, n in ((80000, 160000), (200, STRETCH - 1), (200, STRETCH), (200, STRETCH + 1), (1, 1), (300, 603))]
+    marked = ["\u0002" * (SHARED_ORDER - 1) + w + "\u0003" for w in words]
+    runs = Counter(m[i:i + SHARED_ORDER] for m in marked for i in range(len(m) - SHARED_ORDER + 1))
+    counted = spark.createDataFrame([("x" + r,) for r in runs], "run string")
+    began = time.time()
+    got = {r.run: r.p for r in _backoffs(spark.createDataFrame([(w,) for w in words], "word string"), counted,
+                                         Scratch(spark, "trigrams")).collect()}
+    assert time.time() - began < 30
+    total, kinds, single = Counter(), Counter(), Counter()
+    for r, n in runs.items():
+        total[r[:-1]] += n
+        kinds[r[:-1]] += 1
+        single[r[-1]] += 1
+    # The trigrams are taken whose first letters end a history of ``counted``: the last but the newest of "x" + run.
+    seen = {("x" + r)[1:SHARED_ORDER] for r in runs}
+    want = {r: max(n - DISCOUNT, 0) / total[r[:-1]] + DISCOUNT * kinds[r[:-1]] / total[r[:-1]] * (single[r[-1]] + 1) / (len(runs) + 5000)
+            for r, n in runs.items() if r[:-1] in seen}
+    assert set(got) == set(want) and all(abs(got[r] - want[r]) < 1e-12 for r in want)
+
+
 # --- op10 ---------------------------------------------------------------------
 
 @pytest.mark.parametrize("which", ["given", "edge", "empty", "hot"])
