@@ -166,6 +166,15 @@ def _dq_warn(rules, df: DataFrame, dataset: str) -> DataFrame:
     return rule_report(df, warn_rules(rules), dataset).select("dataset", "rule", "failed_records")
 
 
+# What the desk and position tables read of a trade.
+FOLDED = ["trade_id", "ticker", "side", "quantity", "price", "trader_id", "desk", "asset_class", "event_time", "notional_usd"]
+
+
+def _cards(t: Tables) -> DataFrame:
+    t.priced = t.kept(t.priced.select(*FOLDED))   # two tables fold the same trades: they are put together once
+    return dashboard.cards(t.desk_pnl, t.mtm)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_counts": _q(_source_counts),
     "parse_event_time": _q(_parse_event_time),
@@ -217,7 +226,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                   .read("mark_to_market_pnl")),
     "incremental_trade_anomalies": _q(lambda t: read_anomalies(stream_checks.incremental_tables(
         t.spark, t.enriched, t.ticks))),
-    "dash_cards": _q(lambda t: dashboard.cards(t.desk_pnl, t.mtm)),
+    "dash_cards": _q(_cards),
     "dash_pnl_by_desk": _q(lambda t: dashboard.pnl_by_desk(t.desk_pnl)),
     "dash_volume_by_sector": _q(lambda t: dashboard.volume_by_sector(t.sector_exposure)),
     "dash_volume_over_time": _q(lambda t: dashboard.volume_over_time(t.hourly)),
