@@ -32,6 +32,8 @@ from marketpulse.llm.common import Scratch, id_text
 MAX_CUTS = 1024
 #: Windows in one part of such a cut, if the window is long enough (``part_windows``).
 PART_WINDOWS = 16
+#: Bytes of texts that are read together.
+TEXT_BYTES = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LAST_ID = 2 ** 63 - 1
 
@@ -39,10 +41,14 @@ _LAST_ID = 2 ** 63 - 1
 @dataclass(frozen=True)
 class Units:
     """How texts are read: ``split`` gives a sequence that slices, ``codes`` one
-    number per unit, ``pack`` the bytes of a slice, ``count`` its units."""
+    number per unit, ``pack`` the bytes of a slice. Of several texts at once,
+    ``codes_of`` gives the numbers, one text after the other, and how many each
+    has; ``cuts_of`` the bytes of the slices [lo, hi) of the texts ``row``."""
     split: Callable
     codes: Callable
     pack: Callable
+    codes_of: Callable
+    cuts_of: Callable
     window: int
     gram: int
 
@@ -80,20 +86,29 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return h
 
 
-def pieces(codes: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first window, number of windows) of each piece of a text."""
-    if len(codes) < window:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    width = window - gram + 1
+def pieces(codes: np.ndarray, counts: np.ndarray, window: int,
+           gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, anchor, first window, number of windows) of each piece of texts that lie
+    one after the other in ``codes``, ``counts`` units each."""
+    fits = np.maximum(counts - window + 1, 0)
+    text = np.repeat(np.arange(len(counts)), fits)
+    if not len(text):
+        return text, text, text, text
     with np.errstate(over="ignore"):
         h = gram_hashes(codes, gram)
-    low = sliding_min(h, width)
+    low = sliding_min(h, window - gram + 1)
+    # Windows over the border of two texts are left out.
+    first = np.cumsum(fits) - fits
+    at = np.arange(len(text)) - first[text]
+    flat = (np.cumsum(counts) - counts)[text] + at
+    low = low[flat]
     # The next window has another anchor when a smaller gram comes in or when
     # this window's anchor is its first gram; equal grams are told apart by place.
-    cut = np.concatenate([[0], np.nonzero((low[1:] != low[:-1]) | (h[:len(low) - 1] == low[:-1]))[0] + 1])
-    size = np.diff(np.append(cut, len(low)))
-    return low[cut].view(np.int64), cut, size
+    new = np.ones(len(text), bool)
+    new[1:] = (low[1:] != low[:-1]) | (h[flat[:-1]] == low[:-1])
+    new[first[fits > 0]] = True
+    cut = np.flatnonzero(new)
+    return text[cut], low[cut].view(np.int64), at[cut], np.diff(np.append(cut, len(text)))
 
 
 def sources(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -107,44 +122,52 @@ def sources(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                       F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
 
 
+def some_texts(b: pa.RecordBatch, column: int):
+    """(first row, texts) of a batch's rows, some at a time, which bounds what is held."""
+    held, size, start = [], 0, 0
+    for i, data in enumerate(b.column(column)):
+        held.append(data.as_py())
+        size += len(held[-1])
+        if size >= TEXT_BYTES:
+            yield start, held
+            held, size, start = [], 0, i + 1
+    if held:
+        yield start, held
+
+
 def _find(units: Units):
     def run(batches):
         for b in batches:
             did, tk = b.column(0).to_numpy(), b.column(1).to_numpy()
-            cols = [[], [], [], []]
-            for i, data in enumerate(b.column(2).to_pylist()):
-                if len(data) < units.window:
-                    continue
-                anchor, at, n = pieces(units.codes(units.split(data)), units.window, units.gram)
-                for c, x in zip(cols, (np.full(len(anchor), i), anchor, at, n)):
-                    c.append(x)
-            if cols[0]:
-                row, anchor, at, n = (np.concatenate(c) for c in cols)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(did[row]), pa.array(tk[row]), pa.array(anchor), pa.array((at << 16) | n)],
-                    ["did", "tk", "anchor", "at"])
+            for start, texts in some_texts(b, 2):
+                row, anchor, at, n = pieces(*units.codes_of(texts), units.window, units.gram)
+                if len(row):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(did[row + start]), pa.array(tk[row + start]), pa.array(anchor), pa.array((at << 16) | n)],
+                        ["did", "tk", "anchor", "at"])
     return run
 
 
+def _found_cuts(units: Units, b: pa.RecordBatch, data: int, found: int):
+    """(row, columns of ``found``, cuts) of a batch's rows, some at a time."""
+    for start, texts in some_texts(b, data):
+        lists = b.column(found).slice(start, len(texts))
+        row = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy())
+        places = lists.flatten()
+        columns = dict(zip((f.name for f in places.type), (c.to_numpy() for c in places.flatten())))
+        lo = columns["at"] >> 16
+        yield row + start, columns, units.cuts_of(texts, row, lo, lo + (columns["at"] & 0xFFFF) + units.window - 1)
+
+
 def _hash_cuts(units: Units):
     """(did, tk, data, found) to the 128-bit hash of each found piece."""
     def run(batches):
-        for whole in batches:
-            for k in range(0, whole.num_rows, 128):   # a slice at a time bounds what is held
-                b = whole.slice(k, 128)
-                did, tk, anchor, at, key = [], [], [], [], []
-                for d, t, data, found in zip(*(b.column(j).to_pylist() for j in range(4))):
-                    seq = units.split(data)
-                    for x in found:
-                        lo, n = x["at"] >> 16, x["at"] & 0xFFFF
-                        did.append(d)
-                        tk.append(t)
-                        anchor.append(x["anchor"])
-                        at.append(x["at"])
-                        key.append(xxhash.xxh3_128_digest(units.pack(seq[lo:lo + n + units.window - 1])))
-                both = np.frombuffer(b"".join(key), np.int64).reshape(-1, 2)
+        for b in batches:
+            did, tk = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for row, found, cuts in _found_cuts(units, b, 2, 3):
+                both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, cuts)), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()) for x in (did, tk, anchor, at)] + [pa.array(both[:, 0]), pa.array(both[:, 1])],
+                    [pa.array(x) for x in (did[row], tk[row], found["anchor"], found["at"], both[:, 0], both[:, 1])],
                     ["did", "tk", "anchor", "at", "h1", "h2"])
     return run
 
@@ -154,19 +177,10 @@ def _take_cuts(units: Units):
     names = ["anchor", "h1", "h2", "first", "n", "load"]
 
     def run(batches):
-        for whole in batches:
-            for k in range(0, whole.num_rows, 128):
-                b = whole.slice(k, 128)
-                rows, cuts = [], []
-                for data, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    seq = units.split(data)
-                    for x in found:
-                        lo, n = x["at"] >> 16, x["at"] & 0xFFFF
-                        rows.append(x)
-                        cuts.append(units.pack(seq[lo:lo + n + units.window - 1]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[c] for r in rows], pa.int64()) for c in names] + [pa.array(cuts, pa.binary())],
-                    [*names, "cut"])
+        for b in batches:
+            for _, found, cuts in _found_cuts(units, b, 0, 1):
+                yield pa.RecordBatch.from_arrays([pa.array(found[c]) for c in names] + [pa.array(cuts, pa.binary())],
+                                                 [*names, "cut"])
     return run
 
 
@@ -346,6 +360,20 @@ def removed_runs(spans, window: int) -> list[list[int]]:
     return runs
 
 
+def runs_of_rows(spans: pa.ListArray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, stop) of the ``removed_runs`` of several rows' spans, by row and start."""
+    row = np.repeat(np.arange(len(spans)), spans.value_lengths().fill_null(0).to_numpy())
+    if not len(row):
+        return row, row, row
+    start, end = (x.to_numpy() for x in spans.flatten().flatten())
+    order = np.lexsort((start, row))
+    row, start, stop = row[order], start[order], end[order] + window - 1
+    reach = np.maximum.accumulate((row << 40) + stop)   # 40 bits hold a place in a text
+    new = np.r_[True, (row[1:] << 40) + start[1:] > reach[:-1]]
+    last = np.r_[np.flatnonzero(new)[1:] - 1, len(row) - 1]
+    return row[new], start[new], reach[last] - (row[last] << 40)
+
+
 def with_spans(src: DataFrame, spans: DataFrame) -> DataFrame:
     """(doc_id, data, spans): every input row with its flagged windows."""
     return src.join(spans, ["did", "tk"], "left").select("doc_id", "data", "spans")

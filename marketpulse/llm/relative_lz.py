@@ -20,33 +20,74 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.llm.common import Scratch
-from marketpulse.llm.passages import (RANGES, Units, compared_cuts, in_groups, removed_runs, repeated_pieces, sources,
-                                      split_by_load, verdicts, window_verdicts, with_spans)
+from marketpulse.llm.passages import (RANGES, Units, compared_cuts, in_groups, repeated_pieces, runs_of_rows, some_texts,
+                                      sources, split_by_load, verdicts, window_verdicts, with_spans)
 
 WINDOW = 13
 GRAM = 5
-#: Word hashes that a task remembers.
-_MEMORY = 500_000
-
-
-class _WordHash(dict):
-    def __missing__(self, word):
-        if len(self) >= _MEMORY:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+#: Bytes whose words are hashed together; only a longer word makes a longer run.
+_RUN_BYTES = 1 << 16
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_BYTE = np.random.default_rng(13).integers(0, 2 ** 64, 256, dtype=np.uint64)
+_BASE = 0x9FB21C651E98DF25
+
+
+class _Powers:
+    """Powers of the base and of its inverse modulo 2**64, as many as were asked for."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(0, np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            self.up, self.down = (np.cumprod(np.r_[np.uint64(1), np.full(n - 1, b, np.uint64)])
+                                  for b in (_BASE, pow(_BASE, -1, 2 ** 64)))
+        return self.up, self.down
+
+
+def _word_codes(texts: list[bytes], powers: _Powers) -> tuple[np.ndarray, np.ndarray]:
+    """A hash per word, of all texts, and the number of words of each text.
+
+    A word's hash is the sum of its bytes' random numbers times powers of a base by
+    place, divided by the power of its first place: sums of whole runs of text give it."""
+    data = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
+    space = _IS_SPACE[data]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, end = edge[::2], edge[1::2]
+    out = np.empty(len(start), np.uint64)
+    a = 0
+    while a < len(start):
+        b = max(a + 1, int(np.searchsorted(end, start[a] + _RUN_BYTES, "right")))
+        run = data[start[a] - 1:end[b - 1]]   # with the space before it
+        up, down = powers.upto(len(run))
+        total = np.cumsum(_BYTE[run] * up[:len(run)])
+        lo = start[a:b] - (start[a] - 1)
+        out[a:b] = (total[end[a:b] - start[a]] - total[lo - 1]) * down[lo]
+        a = b
+    out = (out ^ (out >> np.uint64(32))) * np.uint64(_BASE)
+    borders = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    return out ^ (out >> np.uint64(29)), np.diff(np.searchsorted(start, borders))
+
+
+def _word_cuts(texts: list[bytes], row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[bytes]:
+    """The words [lo, hi) of the texts ``row``, joined by one space."""
+    plain = [b" ".join(t.split()) for t in texts]
+    data = b"\n".join(plain)
+    gap = np.flatnonzero(_IS_SPACE[np.frombuffer(data, np.uint8)])
+    first = np.searchsorted(gap, np.cumsum([0, *(len(t) + 1 for t in plain[:-1])]))[row]   # a text's first word
+    start, end = np.r_[0, gap + 1], np.r_[gap, len(data)]
+    return [data[a:b] for a, b in zip(start[first + lo].tolist(), end[first + hi - 1].tolist())]
 
 
 def word_units(window: int = WINDOW, gram: int = GRAM) -> Units:
-    memory = _WordHash()
-    return Units(split=lambda data: data.split(),
-                 codes=lambda w: np.fromiter(map(memory.__getitem__, w), np.uint64, len(w)),
-                 pack=lambda w: b" ".join(w), window=window, gram=gram)
+    powers = _Powers()
+    return Units(split=lambda data: data.split(), codes=lambda w: _word_codes([b" ".join(w)], powers)[0],
+                 pack=lambda w: b" ".join(w), codes_of=lambda texts: _word_codes(texts, powers), cuts_of=_word_cuts,
+                 window=window, gram=gram)
 
 
 def parse(words: list[bytes], index: dict, owner: int, window: int) -> list[tuple[int, int]]:
@@ -113,23 +154,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = with_spans(src, spans)
 
     def cut_out(batches):
-        run_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for whole in batches:
-            for k in range(0, whole.num_rows, 256):
-                b = whole.slice(k, 256)
-                total, gone, spans_out, kept = [], [], [], []
-                for data, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                    w = data.split()
-                    runs = removed_runs(found, window)
-                    total.append(len(w))
-                    gone.append(sum(e - s for s, e in runs))
-                    spans_out.append([{"start": s, "end": e} for s, e in runs])
-                    for s, e in reversed(runs):
-                        del w[s:e]
-                    kept.append(b" ".join(w).decode())
+        for b in batches:
+            for first, texts in some_texts(b, 1):
+                row, start, stop = runs_of_rows(b.column(2).slice(first, len(texts)), window)
+                words = [t.split() for t in texts]
+                total = list(map(len, words))
+                for i, s, e in zip(row[::-1].tolist(), start[::-1].tolist(), stop[::-1].tolist()):
+                    del words[i][s:e]
+                ends = np.r_[0, np.cumsum(np.bincount(row, minlength=len(texts)))]
+                runs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
+                    [pa.array(start, pa.int64()), pa.array(stop, pa.int64())], ["start", "end"]))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                     pa.array(spans_out, run_type), pa.array(kept, pa.string())],
+                    [b.column(0).slice(first, len(texts)), pa.array(total, pa.int64()),
+                     pa.array([n - len(w) for n, w in zip(total, words)], pa.int64()), runs,
+                     pa.array(map(b" ".join, words), pa.binary()).cast(pa.string())],
                     ["doc_id", "n_words", "n_removed", "spans", "kept"])
 
     kind = src.schema["doc_id"].dataType.simpleString()

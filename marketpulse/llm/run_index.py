@@ -36,7 +36,10 @@ _SYMBOLS_PER_KEY = 7   # nine bits each, in one unsigned 64-bit key
 def byte_units(window: int = WINDOW, gram: int = GRAM) -> Units:
     code = np.random.default_rng(7).integers(0, 2 ** 64, 256, dtype=np.uint64)
     return Units(split=lambda data: data, codes=lambda data: code[np.frombuffer(data, np.uint8)],
-                 pack=bytes, window=window, gram=gram)
+                 pack=bytes, codes_of=lambda texts: (code[np.frombuffer(b"".join(texts), np.uint8)],
+                                                     np.fromiter(map(len, texts), np.int64, len(texts))),
+                 cuts_of=lambda texts, row, lo, hi: [texts[i][a:b] for i, a, b in zip(row.tolist(), lo.tolist(), hi.tolist())],
+                 window=window, gram=gram)
 
 
 def suffix_order(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:

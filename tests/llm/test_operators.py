@@ -170,6 +170,40 @@ def test_hot_passage_whose_first_gram_is_the_anchor(spark, monkeypatch):
         check(sha_of(remove_repeats(df), "doc_id", "n_words", "n_removed"), want)
 
 
+def test_texts_are_read_together(monkeypatch):
+    """Words, pieces, cuts and runs of several texts at once are those of each text by itself."""
+    import random
+    import numpy as np
+    import pyarrow as pa
+    from marketpulse.llm import passages, relative_lz, run_index
+    r = random.Random(3)
+    word = lambda: bytes(r.choice(b"ab\xc3") for _ in range(r.randrange(1, 4)))
+    texts = [b"", b" \t\n ", b"y" * 300, *(b"".join(word() + r.choice([b" ", b"  ", b"\x0b", b"\n"])
+                                                for _ in range(r.randrange(60))) for _ in range(40))]
+    monkeypatch.setattr(relative_lz, "_RUN_BYTES", 16)
+    units = relative_lz.word_units(4, 2)
+    codes, counts = units.codes_of(texts)
+    words = [w for t in texts for w in t.split()]
+    assert counts.tolist() == [len(t.split()) for t in texts]
+    assert len(dict(zip(words, codes.tolist()))) == len(set(zip(words, codes.tolist()))) == len(set(codes.tolist()))
+    for units in (units, run_index.byte_units(8, 3)):
+        codes, counts = units.codes_of(texts)
+        assert codes.tolist() == [c for t in texts for c in units.codes(units.split(t)).tolist()]
+        row, anchor, at, n = passages.pieces(codes, counts, units.window, units.gram)
+        assert (np.bincount(row, n, len(texts)) == np.maximum(counts - units.window + 1, 0)).all()   # each window once
+        alone = [(i, *x) for i, t in enumerate(texts)
+                 for x in zip(*(c.tolist() for c in passages.pieces(*units.codes_of([t]), units.window, units.gram)[1:]))]
+        assert list(zip(row.tolist(), anchor.tolist(), at.tolist(), n.tolist())) == alone
+        hi = at + n + units.window - 1
+        assert units.cuts_of(texts, row, at, hi) == [
+            units.pack(units.split(texts[i])[a:b]) for i, a, b in zip(row.tolist(), at.tolist(), hi.tolist())]
+    spans = [None, [], *([{"start": (a := r.randrange(40)), "end": a + r.randrange(1, 5)} for _ in range(r.randrange(6))]
+                         for _ in range(30))]
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    got = list(zip(*(x.tolist() for x in passages.runs_of_rows(pa.array([[], *spans], kind).slice(1), 4))))
+    assert got == [(i, *run) for i, x in enumerate(spans) for run in passages.removed_runs(x, 4)]
+
+
 def test_match_lengths_are_the_longest_matches():
     import random
     r = random.Random(1)
