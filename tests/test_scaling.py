@@ -5,8 +5,12 @@ import os
 from pyspark.sql import functions as F
 
 from marketpulse.functions.timefmt import with_event_time
+from marketpulse.operators import silver
+from marketpulse.operators.aggregates import COUNTERPARTY_EXPOSURE, POSITIONS
+from marketpulse.operators.quality import Rule
 from marketpulse.operators.silver import enrich_trades
-from marketpulse.plans import queries
+from marketpulse.plans import queries, stream_checks
+from marketpulse.plans.incremental import TRADE_INPUT
 from marketpulse.plans.stream_checks import WAVES, _by_wave
 from marketpulse.sources.files import read_trades, write_json_lines
 from marketpulse.streaming import pipelines
@@ -74,3 +78,48 @@ def test_the_cards_put_their_trades_together_once(spark, tmp_dir):
     assert "order_type" not in out._jdf.queryExecution().optimizedPlan().toString()   # a raw column only
     row = out.first()
     assert (row.total_trades, row.total_volume_usd, row.net_pnl_usd) == (2, 2200.0, 200.0)
+
+
+def _exchanges(df, by=""):
+    return df._jdf.queryExecution().executedPlan().toString().count(f"Exchange hashpartitioning({by}")
+
+
+def test_copies_of_a_trade_are_looked_for_where_they_lie(spark):
+    rows = [trade(f"T-{o}-{n}", price=float(10 + c)) for o in range(5) for n in range(2) for c in (1, 0, 0)]
+    raw = trades_df(spark, [*rows, trade(None), trade(None, price=3.0)]).withColumn(
+        "_order", F.split("trade_id", "-")[1].cast("bigint"))
+    dealt = raw.repartition(4, "_order")
+    got = silver.clean_trades(dealt)
+    assert _exchanges(got) == 1 and _exchanges(got, "trade_id") == 0   # the deal of the test itself
+    assert "_order" not in got.columns
+    want = silver.clean_trades(raw.drop("_order"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(*got.columns).collect()))
+    assert [r.price for r in got.collect()] == [10.0] * 10
+    kept = silver.clean_trades(dealt, [Rule("valid_price", "price > 0", "drop")])   # rows without an id still fold into one
+    assert sorted(repr(r.trade_id) for r in kept.collect()) == sorted(["None", *(repr(f"T-{o}-{n}") for o in range(5) for n in range(2))])
+
+
+def test_a_fold_is_one_grouping(spark):
+    new = enrich_trades(with_event_time(trades_df(spark, [
+        trade("T-1"), trade("T-2", side="SELL"), trade("T-3", ticker="BBB", counterparty_id=None, price=float("nan"))])), *dims(spark))
+    for spec in (POSITIONS, COUNTERPARTY_EXPOSURE):
+        counts = [spec.pairs(new, v).filter("__value IS NOT NULL").distinct()
+                  .select(*spec.keys, F.lit(1).cast("bigint").alias(n)) for n, v in spec.distinct.items()]
+        stored = [spark.createDataFrame(c.collect(), c.schema) for c in counts]
+        first = spec.merge(None, spec.rows(new), stored)
+        assert sorted(map(repr, spec.finish(first).collect())) == sorted(map(repr, spec.batch(new).collect()))
+        old = spark.createDataFrame(first.collect(), first.schema)
+        rows = spec.rows(new)
+        again = spec.merge(old, spark.createDataFrame(rows.collect(), rows.schema), stored[:0])
+        assert _exchanges(again) == 1
+        trades = {tuple(r[k] for k in spec.keys): r["__n"] for r in first.collect()}
+        assert {tuple(r[k] for k in spec.keys): r["__n"] for r in again.collect()} == {k: 2 * n for k, n in trades.items()}
+
+
+def test_stored_waves_hold_what_the_tables_read(spark):
+    t = queries.Tables(spark, "")
+    new = enrich_trades(with_event_time(trades_df(spark, [trade(f"T-{i}", price=10.0 + i) for i in range(9)])), *dims(spark))
+    ticks = silver.enrich_ticks(ticks_df(spark, [tick("M-1"), tick("M-2", ticker="BBB")]))
+    store = stream_checks.incremental_tables(t.spark, new, ticks)
+    assert sorted(store.read("silver_trades").columns) == sorted([*TRADE_INPUT, "wave"])
+    assert sorted(map(repr, store.read("positions").collect())) == sorted(map(repr, POSITIONS.batch(new).collect()))
