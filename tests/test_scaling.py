@@ -1,18 +1,23 @@
 """What a query moves or holds at once, on rows of the test's own."""
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
 from marketpulse.functions.timefmt import with_event_time
-from marketpulse.operators import silver
+from marketpulse.operators import gold, silver
 from marketpulse.operators.aggregates import COUNTERPARTY_EXPOSURE, POSITIONS
 from marketpulse.operators.quality import Rule
 from marketpulse.operators.silver import enrich_trades
-from marketpulse.plans import queries, stream_checks
-from marketpulse.plans.incremental import TRADE_INPUT
+from marketpulse.plans import incremental, queries, stream_checks
+from marketpulse.plans.incremental import TRADE_INPUT, live_anomalies, read_anomalies
 from marketpulse.plans.stream_checks import WAVES, _by_wave
-from marketpulse.sources.files import read_trades, write_json_lines
+from marketpulse.plans.tables import BUCKET, BucketedVersions
+from marketpulse.schemas import ANOMALY_COLUMNS
+from marketpulse.session import Steps, shuffles_dropped
+from marketpulse.sources import files
+from marketpulse.sources.files import read_trades, trades_stream, write_json_lines
 from marketpulse.streaming import pipelines
 from marketpulse.streaming.sinks import commit_folder, committed_batch_dirs, read_batch_dirs
 
@@ -123,3 +128,81 @@ def test_stored_waves_hold_what_the_tables_read(spark):
     store = stream_checks.incremental_tables(t.spark, new, ticks)
     assert sorted(store.read("silver_trades").columns) == sorted([*TRADE_INPUT, "wave"])
     assert sorted(map(repr, store.read("positions").collect())) == sorted(map(repr, POSITIONS.batch(new).collect()))
+def _shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return set(x for x in blocks.mkString(",").split(",") if x.startswith("shuffle_"))
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_dir):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, before = spark.conf.get(setting, None), _shuffle_files(spark)
+    rows = lambda: spark.range(1000).repartition(4, (F.col("id") % 50).alias("k"))
+    with shuffles_dropped(spark):
+        with shuffles_dropped(spark):
+            rows().write.parquet(f"{tmp_dir}/a")
+        again = rows()
+        again.write.parquet(f"{tmp_dir}/b")   # the inner block has not ended the outer one
+        again.write.parquet(f"{tmp_dir}/c")
+    assert spark.conf.get(setting, None) == was
+    until = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert [spark.read.parquet(f"{tmp_dir}/{x}").count() for x in "abc"] == [1000] * 3
+
+
+def test_lookups_in_steps_hold_one_step(spark):
+    trades = with_event_time(trades_df(spark, [trade("T-1"), trade("T-2", trader_id=None), trade(None, ticker="ZZZ", counterparty_id=None)]))
+    want = enrich_trades(trades, *dims(spark))
+    held = []
+
+    def watched(steps):
+        return lambda df: (steps(df), held.append(os.listdir(steps.root)))[0]
+    steps = Steps(spark)
+    got = enrich_trades(trades, *dims(spark), keep=watched(steps))
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    few = Steps(spark, TRADE_INPUT)
+    got = enrich_trades(trades, *dims(spark), keep=watched(few)).select(*TRADE_INPUT)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(*TRADE_INPUT).collect()))
+    assert held == [["1"], ["2"], ["3"]] * 2
+    steps.drop()
+    assert not os.path.exists(steps.root)
+
+
+def test_buckets_are_flagged_in_parts(spark, monkeypatch):
+    rows = [trade(f"T-{i}", ticker=f"TK{i % 7}" if i % 9 else None, price=10.0 + i % 5, quantity=1 + 500 * (i % 13 == 0)) for i in range(60)]
+    new = enrich_trades(with_event_time(trades_df(spark, rows)), *dims(spark))
+    parts = []
+    real = BucketedVersions.write_parts
+    monkeypatch.setattr(BucketedVersions, "write_parts", lambda self, dfs, v: real(self, (parts.append(v) or df for df in dfs), v))
+    monkeypatch.setattr(incremental, "FLAGGED_AT_ONCE", 10)
+    store = stream_checks.incremental_tables(spark, new, silver.enrich_ticks(ticks_df(spark, [tick("M-1")])))
+    assert parts.count(2) == 6 and parts.count(1) > 1
+    want = gold.trade_anomalies(new)
+    assert want.count() > 0
+    assert sorted(map(repr, read_anomalies(store).select(*ANOMALY_COLUMNS).collect())) == sorted(map(repr, want.collect()))
+    # a refresh's replaced versions are gone, and nothing half written is left
+    assert [len(store.versions(n)) for n in ("positions", "_partial_positions", "mark_to_market_pnl")] == [1] * 3
+    assert not [n for n in os.listdir(live_anomalies(store).root) if n.startswith("_open")]
+
+
+def test_a_version_in_parts_is_seen_when_all_are_there(spark, tmp_dir):
+    table = BucketedVersions(spark, f"{tmp_dir}/t", 4)
+    part = lambda b, x: spark.createDataFrame([(b, x)], f"{BUCKET} int, x string")
+    table.write_parts([part(0, "a"), part(1, "b")], 0)
+
+    def broken():
+        yield part(0, "c")
+        raise ValueError("crash")
+    try:
+        table.write_parts(broken(), 1)
+    except ValueError:
+        pass
+    assert sorted(r.x for r in table.read().collect()) == ["a", "b"]
+    table.write_parts([part(1, "d")], 1)   # what the crash left is not part of it
+    assert sorted(r.x for r in table.read().collect()) == ["a", "d"]
+    table.write_parts([part(1, "e")], 1)
+    assert sorted(r.x for r in table.read().collect()) == ["a", "e"]
+
+
