@@ -170,6 +170,18 @@ def test_lookups_in_steps_hold_one_step(spark):
     assert not os.path.exists(steps.root)
 
 
+def test_a_backlog_is_taken_in_several_micro_batches(spark, monkeypatch, tmp_dir):
+    for n in range(3):
+        rows = trades_df(spark, [trade(f"T-{n}"), trade(f"T-{n}"), trade("T-0", price=5.0)])
+        write_json_lines(rows.coalesce(1), f"{tmp_dir}/landing", mode="append")
+    monkeypatch.setattr(files, "MAX_BYTES_PER_TRIGGER", 1)
+    q = pipelines.start_trades(trades_stream(spark, f"{tmp_dir}/landing"), f"{tmp_dir}/sink", f"{tmp_dir}/ck",
+                               lambda: dims(spark), processed_at=False)
+    q.awaitTermination()
+    assert q.exception() is None and len(committed_batch_dirs(spark, f"{tmp_dir}/sink")) == 3
+    assert sorted(r.trade_id for r in read_batch_dirs(spark, f"{tmp_dir}/sink").collect()) == ["T-0", "T-1", "T-2"]
+
+
 def test_buckets_are_flagged_in_parts(spark, monkeypatch):
     rows = [trade(f"T-{i}", ticker=f"TK{i % 7}" if i % 9 else None, price=10.0 + i % 5, quantity=1 + 500 * (i % 13 == 0)) for i in range(60)]
     new = enrich_trades(with_event_time(trades_df(spark, rows)), *dims(spark))
@@ -206,3 +218,16 @@ def test_a_version_in_parts_is_seen_when_all_are_there(spark, tmp_dir):
     assert sorted(r.x for r in table.read().collect()) == ["a", "e"]
 
 
+def test_copies_are_ranked_where_they_lie_before_landing(spark, monkeypatch):
+    monkeypatch.setattr(stream_checks, "_stored_dims", lambda *_: lambda: dims(spark))
+    rows = [trade(f"T-{o}-{n}", price=float(10 + c)) for o in range(3) for n in range(2) for c in (2, 0, 1)]
+    raw = trades_df(spark, [*rows, trade(None), trade(None, price=3.0)]).withColumn(
+        "_order", F.split("trade_id", "-")[1].cast("bigint")).withColumn("_arrival", F.col("price"))
+    ranked = []
+    real = stream_checks._parts
+    monkeypatch.setattr(stream_checks, "_parts", lambda df, c, path: ranked.append(df) or real(df, c, path))
+    got = stream_checks.stream_enriched_trades(spark, "", queries.TRADE_OUT, raw.repartition(4, "_order"))
+    assert _exchanges(ranked[0]) == 1 and _exchanges(ranked[0], "trade_id") == 0   # the deal of the test itself
+    want = silver.enriched_trades(raw, *dims(spark)).select(*queries.TRADE_OUT)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert [r.price for r in got.collect()] == [10.0] * 6
