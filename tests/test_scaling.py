@@ -128,6 +128,8 @@ def test_stored_waves_hold_what_the_tables_read(spark):
     store = stream_checks.incremental_tables(t.spark, new, ticks)
     assert sorted(store.read("silver_trades").columns) == sorted([*TRADE_INPUT, "wave"])
     assert sorted(map(repr, store.read("positions").collect())) == sorted(map(repr, POSITIONS.batch(new).collect()))
+
+
 def _shuffle_files(spark):
     blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
     return set(x for x in blocks.mkString(",").split(",") if x.startswith("shuffle_"))
